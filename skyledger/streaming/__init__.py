@@ -1,0 +1,5 @@
+"""Batch only: the workload this library covers has no streaming job.
+
+The row-wise operators (segment unpacking, path cleaning) hold no state, so
+they accept a streaming DataFrame as they are.
+"""
