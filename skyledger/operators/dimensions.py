@@ -6,9 +6,11 @@ fact rows, and keys from 1 on in the order of that code.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -140,13 +142,27 @@ def dim_date(raw: DataFrame, stable: bool = False) -> DataFrame:
     return _keyed(parts, ["full_date"], "date_fk", stable)
 
 
+def _stored(name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    return materialize(build(), f"dim-{name}")
+
+
 def build_dimensions(
     raw: DataFrame, raw_airports: DataFrame, stable: bool = False
 ) -> Dimensions:
-    return Dimensions(
-        airport=dim_airport(raw_airports, stable),
-        airline=dim_airline(raw, stable=stable),
-        aircraft=dim_aircraft(raw, stable=stable),
-        flight_details=dim_flight_details(raw, stable),
-        date=dim_date(raw, stable),
-    )
+    """All five, stored with their keys.
+
+    Built side by side, as each reads other columns of the raw table.
+    """
+    jobs = {
+        "airport": lambda: dim_airport(raw_airports, stable),
+        "airline": lambda: dim_airline(raw, stable=stable),
+        "aircraft": lambda: dim_aircraft(raw, stable=stable),
+        "flight_details": lambda: dim_flight_details(raw, stable),
+        "date": lambda: dim_date(raw, stable),
+    }
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        built = {
+            name: pool.submit(inheritable_thread_target(_stored), name, job)
+            for name, job in jobs.items()
+        }
+        return Dimensions(**{name: b.result() for name, b in built.items()})

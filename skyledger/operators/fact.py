@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.functions import (
@@ -17,7 +17,7 @@ from skyledger.functions import (
 from skyledger.operators.dimensions import FLIGHT_DETAILS, Dimensions
 from skyledger.operators.keys import UNKNOWN
 from skyledger.operators.segments import explode_segments
-from skyledger.operators.skew import lookup_join
+from skyledger.operators.skew import lookup_join, which_fit_broadcast
 
 FACT_KEYS = (
     "search_date_fk",
@@ -60,22 +60,8 @@ def fact_segments(raw: DataFrame, on_null: str = "drop") -> DataFrame:
     return rows.withColumns({c: lookup_key(F.col(c)) for c in codes})
 
 
-def attach_key(
-    fact: DataFrame,
-    dim: DataFrame,
-    code: str,
-    dim_code: str,
-    dim_key: str,
-    key_name: str,
-    normalise: bool = True,
-) -> DataFrame:
-    """Left-join a dimension's key as ``key_name``; ``code`` is already normalised."""
-    member = F.col(dim_code)
-    keys = dim.select(
-        (lookup_key(member) if normalise else member).alias(code),
-        F.col(dim_key).alias(key_name),
-    )
-    return lookup_join(fact, keys, [code])
+def _keys(dim: DataFrame, code: Column, key: str) -> DataFrame:
+    return dim.select(code.alias("_code"), F.col(key).alias("_key"))
 
 
 def star_fact(raw: DataFrame, dims: Dimensions, on_null: str = "drop") -> DataFrame:
@@ -85,25 +71,28 @@ def star_fact(raw: DataFrame, dims: Dimensions, on_null: str = "drop") -> DataFr
     ``itinerary_fares`` for sums. Dimensions that fit are broadcast, so the
     segments are not shuffled.
     """
-    rows = fact_segments(raw, on_null)
-    for code, key in (("search_date", "search_date_fk"), ("flight_date", "flight_date_fk")):
-        rows = attach_key(rows, dims.date, code, "full_date", "date_fk", key, False)
-    rows = attach_key(
-        rows, dims.airline, "airline_code", "airline_code", "airline_fk", "airline_fk"
-    )
-    for end in ("departure", "arrival"):
-        rows = attach_key(
-            rows, dims.airport, f"{end}_airport", "iata_code", "airport_fk", f"{end}_airport_fk"
-        )
-    rows = attach_key(
-        rows,
-        dims.aircraft,
-        "equipment_description",
-        "equipment_description",
-        "aircraft_fk",
-        "aircraft_fk",
+    date = _keys(dims.date, F.col("full_date"), "date_fk")
+    airline = _keys(dims.airline, lookup_key(F.col("airline_code")), "airline_fk")
+    airport = _keys(dims.airport, lookup_key(F.col("iata_code")), "airport_fk")
+    aircraft = _keys(
+        dims.aircraft, lookup_key(F.col("equipment_description")), "aircraft_fk"
     )
-    rows = lookup_join(rows, dims.flight_details, FLIGHT_DETAILS)
+    details = dims.flight_details.select(*FLIGHT_DETAILS, "flight_details_fk")
+    sides = [date, airline, airport, aircraft, details]
+    fits = dict(zip(map(id, sides), which_fit_broadcast(sides)))
+    lookups = {
+        "search_date": (date, "search_date_fk"),
+        "flight_date": (date, "flight_date_fk"),
+        "airline_code": (airline, "airline_fk"),
+        "departure_airport": (airport, "departure_airport_fk"),
+        "arrival_airport": (airport, "arrival_airport_fk"),
+        "equipment_description": (aircraft, "aircraft_fk"),
+    }
+    rows = fact_segments(raw, on_null)
+    for code, (side, key) in lookups.items():
+        named = side.withColumnsRenamed({"_code": code, "_key": key})
+        rows = lookup_join(rows, named, [code], small=fits[id(side)])
+    rows = lookup_join(rows, details, FLIGHT_DETAILS, small=fits[id(details)])
     return rows.select(
         *[F.coalesce(F.col(k), F.lit(UNKNOWN)).alias(k) for k in FACT_KEYS],
         "leg_id",

@@ -18,20 +18,33 @@ HOT_KEY_ROWS = 1_000_000
 MAX_HOT_KEYS = 10_000
 
 
-def fits_broadcast(
-    df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
-) -> bool:
-    """Count rows and bytes of ``df``, which should be a stored or tiny table."""
+def _size(df: DataFrame) -> DataFrame:
     width = F.lit(0).cast("bigint")
     for field in df.schema.fields:
         if isinstance(field.dataType, T.StringType):
             width = width + F.coalesce(F.octet_length(field.name), F.lit(0)) + 16
         else:
             width = width + 8
-    size = df.agg(
-        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("b")
-    ).first()
-    return size.n <= max_rows and size.b <= max_bytes
+    return df.agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("b"))
+
+
+def which_fit_broadcast(
+    dfs: Sequence[DataFrame],
+    max_rows: int = BROADCAST_ROWS,
+    max_bytes: int = BROADCAST_BYTES,
+) -> list[bool]:
+    """Count rows and bytes of stored or tiny tables, all in one job."""
+    sizes = [_size(df).withColumn("i", F.lit(i)) for i, df in enumerate(dfs)]
+    found = {r.i: r for r in reduce(DataFrame.unionAll, sizes).collect()}
+    return [
+        found[i].n <= max_rows and (found[i].b or 0) <= max_bytes for i in range(len(dfs))
+    ]
+
+
+def fits_broadcast(
+    df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
+) -> bool:
+    return which_fit_broadcast([df], max_rows, max_bytes)[0]
 
 
 def all_known(names: Sequence[str]) -> Column:
@@ -64,7 +77,7 @@ def lookup_join(
     right: DataFrame,
     on: Sequence[str],
     how: str = "left",
-    max_broadcast_rows: int = BROADCAST_ROWS,
+    small: bool | None = None,
     hot_rows: int = HOT_KEY_ROWS,
 ) -> DataFrame:
     """Join ``right``, which has one row per key, to ``left`` (left or inner).
@@ -72,13 +85,12 @@ def lookup_join(
     A ``right`` that fits is broadcast, so ``left`` is not moved at all. Beyond
     that bound the join shuffles, but only rows whose key is not hot: rows of hot
     keys meet a broadcast of just those keys, and rows with a NULL key have no
-    partner and need none.
+    partner and need none. ``small`` tells whether ``right`` fits, if known.
     """
     if how not in ("left", "inner"):
         raise ValueError(how)
-    on = list(on)
-    if fits_broadcast(right, max_broadcast_rows):
-        return left.join(F.broadcast(right), on, how)
+    if fits_broadcast(right) if small is None else small:
+        return left.join(F.broadcast(right), list(on), how)
     return isolating_join(left, right, on, how, hot_rows)
 
 

@@ -30,14 +30,14 @@ from skyledger.operators.segments import (
     serving_segments,
     wide_flights,
 )
-from skyledger.sources.scratch import scratch_root
+from skyledger.sources.scratch import materialize, scratch_root
 from skyledger.sources.tables import on_day, replace_path
 from workload.derive import given, stored
 
 AS_OF = "2022-01-01"
 SCAN_DAY = "1998-06-15"
 
-_facts: dict[tuple[str, str], DataFrame] = {}
+_warehouses: dict[tuple[str, str, str], tuple[DataFrame, dims.Dimensions]] = {}
 
 
 def two_decimals(name: str) -> Column:
@@ -53,9 +53,24 @@ def _dimensions(spark: SparkSession, d: str, raw: str) -> dims.Dimensions:
     return dims.build_dimensions(stored(spark, d, raw), stored(spark, d, "raw_airports"))
 
 
-def _fare_fact(spark: SparkSession, d: str) -> DataFrame:
-    built = _dimensions(spark, d, "fare_history")
-    fact = star_fact(stored(spark, d, "fare_history"), built)
+def _warehouse(
+    spark: SparkSession, d: str, raw: str
+) -> tuple[DataFrame, dims.Dimensions]:
+    """Ticket fact and dimensions of a raw table, stored once per application.
+
+    By month: at this size a day has too few rows for a folder of its own.
+    """
+    key = (spark.sparkContext.applicationId, d, raw)
+    if key not in _warehouses:
+        built = _dimensions(spark, d, raw)
+        fact = star_fact(stored(spark, d, raw), built)
+        path = f"{scratch_root(spark)}/fact-{raw}-{len(_warehouses)}"
+        _warehouses[key] = (replace_path(fact, path, FACT_PARTITIONS[:2]), built)
+    return _warehouses[key]
+
+
+def _features(spark: SparkSession, d: str, raw: str = "fare_history") -> DataFrame:
+    fact, built = _warehouse(spark, d, raw)
     return fare_features(fact, built.date)
 
 
@@ -138,22 +153,14 @@ def lookup_normalized(spark: SparkSession, d: str) -> DataFrame:
 
 
 def fares_per_itinerary(spark: SparkSession, d: str) -> DataFrame:
-    fact = star_fact(
-        stored(spark, d, "raw_itineraries"), _dimensions(spark, d, "raw_itineraries")
-    )
+    fact, _ = _warehouse(spark, d, "raw_itineraries")
     return _with_rounded_fares(itinerary_fares(fact))
 
 
 def partition_scan(spark: SparkSession, d: str) -> DataFrame:
-    """One day of the ticket fact as stored, partitioned by flight day."""
-    key = (spark.sparkContext.applicationId, d)
-    if key not in _facts:
-        fact = star_fact(
-            stored(spark, d, "raw_itineraries"), _dimensions(spark, d, "raw_itineraries")
-        )
-        path = f"{scratch_root(spark)}/fact-{len(_facts)}"
-        _facts[key] = replace_path(fact, path, FACT_PARTITIONS)
-    return _with_rounded_fares(_facts[key].where(on_day(SCAN_DAY)))
+    """One day of the stored ticket fact."""
+    fact, _ = _warehouse(spark, d, "raw_itineraries")
+    return _with_rounded_fares(fact.where(on_day(SCAN_DAY)))
 
 
 def search(spark: SparkSession, d: str) -> DataFrame:
@@ -230,11 +237,11 @@ def paths(spark: SparkSession, d: str) -> DataFrame:
 
 
 def features(spark: SparkSession, d: str) -> DataFrame:
-    return _with_rounded_fares(_fare_fact(spark, d))
+    return _with_rounded_fares(_features(spark, d))
 
 
 def label(spark: SparkSession, d: str) -> DataFrame:
-    return _with_rounded_fares(best_time_label(_fare_fact(spark, d)))
+    return _with_rounded_fares(best_time_label(_features(spark, d)))
 
 
 def _route_fares(spark: SparkSession, d: str) -> DataFrame:
@@ -284,13 +291,8 @@ def fare_error(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def _dirty_features(spark: SparkSession, d: str) -> DataFrame:
-    built = _dimensions(spark, d, "dirty_itineraries")
-    return fare_features(star_fact(stored(spark, d, "dirty_itineraries"), built), built.date)
-
-
 def _prepared(spark: SparkSession, d: str) -> DataFrame:
-    rows = _dirty_features(spark, d)
+    rows = materialize(_features(spark, d, "dirty_itineraries"), "dirty-features")
     return Pipeline(stages=feature_stages()).fit(rows).transform(rows)
 
 
@@ -338,7 +340,7 @@ def split(spark: SparkSession, d: str) -> DataFrame:
 
 def train_score(spark: SparkSession, d: str) -> DataFrame:
     """Fit the model on the labelled fares, then score all routes of the rules."""
-    rows = _fare_fact(spark, d)
+    rows = _features(spark, d)
     model = train_fare_model(rows, fraction=0.1).model
     rules = route_price_rule(rows)
     return recommend(model.transform(scenario_grid(rules, AS_OF)), rules)
