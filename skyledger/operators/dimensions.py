@@ -160,9 +160,7 @@ def build_dimensions(
         "flight_details": lambda: dim_flight_details(raw, stable),
         "date": lambda: dim_date(raw, stable),
     }
+    store = inheritable_thread_target(raw.sparkSession)(_stored)
     with ThreadPoolExecutor(len(jobs)) as pool:
-        built = {
-            name: pool.submit(inheritable_thread_target(_stored), name, job)
-            for name, job in jobs.items()
-        }
+        built = {name: pool.submit(store, name, job) for name, job in jobs.items()}
         return Dimensions(**{name: b.result() for name, b in built.items()})
