@@ -32,3 +32,12 @@ def spark():
     session = local_session()
     yield session
     session.stop()
+
+
+@pytest.fixture
+def dynamic_overwrite(spark):
+    name = "spark.sql.sources.partitionOverwriteMode"
+    old = spark.conf.get(name)
+    spark.conf.set(name, "dynamic")
+    yield
+    spark.conf.set(name, old)
