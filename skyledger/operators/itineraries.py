@@ -92,11 +92,13 @@ def select_itineraries(
 def reassemble(segments: DataFrame) -> DataFrame:
     """One row per itinerary: price, route, flying time and timeline.
 
-    A group is one itinerary of one search, so it has a handful of rows.
+    A group is one itinerary of one search, so it has a handful of segments.
+    Copies of a segment row, from a search that was loaded twice, count once and
+    are merged before the shuffle, however many there are.
     """
     grouped = segments.groupBy("search_date", "flight_date", "leg_id").agg(
         F.sort_array(
-            F.collect_list(
+            F.collect_set(
                 F.struct(
                     "segment_index",
                     "segment_departure_airport",
@@ -132,8 +134,8 @@ def itinerary_search(
 def packed_itineraries(raw: DataFrame) -> DataFrame:
     """The same answer from the packed table, whose rows are whole itineraries.
 
-    Needs no shuffle: the way to go when all itineraries are wanted. One row per
-    raw row, so a row that was loaded twice appears twice.
+    Needs no shuffle: the way to go when all itineraries are wanted. A raw row that
+    was loaded twice appears twice.
     """
     typed = raw.select(
         to_date(F.col("search_date")).alias("search_date"),

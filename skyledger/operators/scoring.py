@@ -16,12 +16,15 @@ ROUTE = ("departure_airport_fk", "arrival_airport_fk")
 FIRST_DAY, LAST_DAY, STEP_DAYS = 1, 180, 5
 
 
-def future_dates(as_of: str | dt.date) -> Column:
+def as_date(day: str | dt.date | Column) -> Column:
+    return day if isinstance(day, Column) else F.to_date(F.lit(str(day)))
+
+
+def future_dates(as_of: str | dt.date | Column) -> Column:
     """Array of the dates to predict: every fifth day of the next 180."""
-    day = F.to_date(F.lit(str(as_of)))
     return F.sequence(
-        F.date_add(day, FIRST_DAY),
-        F.date_add(day, LAST_DAY),
+        F.date_add(as_date(as_of), FIRST_DAY),
+        F.date_add(as_date(as_of), LAST_DAY),
         F.make_dt_interval(days=F.lit(STEP_DAYS)),
     )
 
@@ -42,7 +45,7 @@ def scenario_grid(
         *ROUTE,
         *carry,
         "date",
-        lead_days(date, F.to_date(F.lit(str(as_of)))).alias("search_to_flight_days"),
+        lead_days(date, as_date(as_of)).alias("search_to_flight_days"),
         F.dayofweek(date).alias("flight_day_of_week"),
         F.month(date).alias("flight_month"),
         F.weekofyear(date).alias("flight_week_of_year"),

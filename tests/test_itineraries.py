@@ -35,6 +35,11 @@ def test_report(spark):
     assert row.total_fare == 123.5
 
 
+def test_copies_of_a_row_count_once(spark):
+    wide = wide_flights(raw(spark, *[{} for _ in range(50)]))
+    assert same_rows(itinerary_search(wide), itinerary_search(wide_flights(raw(spark, {}))))
+
+
 def test_search_one_route_and_day(spark):
     found = itinerary_search(
         wide_flights(source(spark)), "2022-04-16", "2022-05-01", "sfo", "phl"

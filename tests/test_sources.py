@@ -4,6 +4,8 @@ import json
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.classic.dataframe import DataFrame
+from pyspark.sql.readwriter import DataFrameWriter
 
 from skyledger.sources import lookup_files as lf
 from skyledger.sources import scratch, tables
@@ -60,7 +62,40 @@ def test_encodings(spark, tmp_path):
     assert [tuple(r) for r in only.collect()] == [("JP", "日本")]
 
 
-def test_jdbc_options(spark, monkeypatch):
+def test_write_jdbc(spark, monkeypatch):
+    """The settings handed to Spark; no database is started for this."""
+    seen = {}
+
+    class Writer(DataFrameWriter):
+        def format(self, source):
+            seen["format"] = source
+            return self
+
+        def options(self, **options):
+            seen.update(options)
+            return self
+
+        def mode(self, mode):
+            seen["mode"] = mode
+            return self
+
+        def save(self):
+            seen["saved"] = True
+
+    monkeypatch.setattr(DataFrame, "write", property(Writer))
+    lf.write_jdbc(spark.range(1), "jdbc:x", "named", connection={"user": "u"})
+    assert seen == {
+        "format": "jdbc",
+        "url": "jdbc:x",
+        "dbtable": "named",
+        "batchsize": "1000",
+        "user": "u",
+        "mode": "overwrite",
+        "saved": True,
+    }
+
+
+def test_jdbc_options():
     assert lf.jdbc_options("jdbc:x", "airports", lf.AIRPORT_COLUMN_TYPES) == {
         "url": "jdbc:x",
         "dbtable": "airports",

@@ -454,6 +454,9 @@ SELECT {_FEATURE_NAMES}, CASE WHEN CAST(total_fare AS DOUBLE)
 SELECT dep_fk AS departure_airport_fk, arr_fk AS arrival_airport_fk,
   round(min(fare) * CAST(1.05 AS DOUBLE), 4) AS best_buy_threshold
 FROM flights GROUP BY dep_fk, arr_fk""",
+    "q_date_grid": f"""WITH {_SEG}
+SELECT search_date AS as_of, CAST(search_date + CAST(lead AS INTEGER) AS DATE) AS date
+FROM (SELECT DISTINCT search_date FROM seg), (SELECT unnest(range(1, 181, 5)) AS lead)""",
     "q_scenarios": f"""WITH {_FLIGHTS},
 grid AS (
   SELECT DISTINCT dep_fk, arr_fk, CAST(DATE '{AS_OF}' + lead AS DATE) AS date,

@@ -22,7 +22,7 @@ from skyledger.operators.model import (
     train_fare_model,
 )
 from skyledger.operators.reports import rmse, stitched_share
-from skyledger.operators.scoring import recommend, scenario_grid
+from skyledger.operators.scoring import future_dates, recommend, scenario_grid
 from skyledger.operators.segments import (
     explode_segments,
     flights_view,
@@ -30,6 +30,7 @@ from skyledger.operators.segments import (
     serving_segments,
     wide_flights,
 )
+from skyledger.operators.skew import lookup_join
 from skyledger.sources.scratch import materialize, scratch_root
 from skyledger.sources.tables import on_day, replace_path
 from workload.derive import given, stored
@@ -261,6 +262,13 @@ def route_rule(spark: SparkSession, d: str) -> DataFrame:
     return rule.withColumn("best_buy_threshold", F.round("best_buy_threshold", 4))
 
 
+def date_grid(spark: SparkSession, d: str) -> DataFrame:
+    """The dates to predict as seen from each day on which a search was made."""
+    raw = stored(spark, d, "raw_itineraries")
+    days = raw.select(F.to_date("search_date").alias("as_of")).distinct()
+    return days.select("as_of", F.explode(future_dates(F.col("as_of"))).alias("date"))
+
+
 def scenarios(spark: SparkSession, d: str) -> DataFrame:
     return scenario_grid(route_price_rule(_route_fares(spark, d)), AS_OF)
 
@@ -285,7 +293,7 @@ def fare_error(spark: SparkSession, d: str) -> DataFrame:
     route = ["departure_airport_fk", "arrival_airport_fk"]
     means = fares.groupBy(*route).agg(F.avg("total_fare").alias("mean_fare"))
     return (
-        fares.join(means, route)
+        lookup_join(fares, means, route, "inner")
         .groupBy("departure_airport_fk")
         .agg(F.round(rmse(F.col("total_fare"), F.col("mean_fare")), 4).alias("rmse"))
     )
@@ -380,6 +388,7 @@ QUERIES = {
     "q_fare_features": features,
     "q_best_time_label": label,
     "q_route_rule": route_rule,
+    "q_date_grid": date_grid,
     "q_scenarios": scenarios,
     "q_recommend": recommendations,
     "q_stitched_share": stitched,
