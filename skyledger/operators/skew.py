@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -16,6 +16,8 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 HOT_KEY_ROWS = 1_000_000
 # Bounds the list of such keys. Any key above 1/MAX_HOT_KEYS of the rows is on it.
 MAX_HOT_KEYS = 10_000
+# Up to this many values of a column become a filter list.
+MAX_LISTED = 400
 
 
 def _size(df: DataFrame) -> DataFrame:
@@ -124,11 +126,32 @@ def isolating_join(
     return out.unionAll(keyless)
 
 
-def semi_join(left: DataFrame, keys: DataFrame, small: bool | None = None) -> DataFrame:
+def listed_values(keys: DataFrame, limit: int = MAX_LISTED) -> dict[str, list]:
+    """The values of each column of a small table that has few different ones."""
+    found = keys.agg(
+        *[F.slice(F.collect_set(c), 1, limit + 1).alias(c) for c in keys.columns]
+    ).first()
+    return {c: found[c] for c in keys.columns if len(found[c]) <= limit}
+
+
+def semi_join(
+    left: DataFrame,
+    keys: DataFrame,
+    small: bool | None = None,
+    values: Mapping[str, list] | None = None,
+) -> DataFrame:
     """Rows of ``left`` whose key is in ``keys`` (distinct rows, same column names).
 
-    ``small`` tells whether ``keys`` fits a broadcast, if that is known already.
+    Short lists of values also become plain filters, which skip the partitions and
+    row groups of ``left`` that a join would have read. ``small`` tells whether
+    ``keys`` fits a broadcast and ``values`` are those lists, if known already.
     """
-    if fits_broadcast(keys) if small is None else small:
-        return left.join(F.broadcast(keys), keys.columns, "left_semi")
-    return isolating_join(left, keys, keys.columns, "inner")
+    if not (fits_broadcast(keys) if small is None else small):
+        return isolating_join(left, keys, keys.columns, "inner")
+    values = listed_values(keys) if values is None else values
+    listed = [c for c in keys.columns if c in values]
+    for name in listed:
+        left = left.where(F.col(name).isin(values[name]))
+    if listed == keys.columns and len(listed) == 1:
+        return left
+    return left.join(F.broadcast(keys), keys.columns, "left_semi")

@@ -14,7 +14,7 @@ from skyledger.operators.fact import FACT_PARTITIONS, star_fact
 from skyledger.operators.features import best_time_label, fare_features, route_price_rule
 from skyledger.operators.model import TrainedModel, load_model, save_model, train_fare_model
 from skyledger.operators.scoring import ROUTE, recommend, scenario_grid
-from skyledger.operators.segments import segment_fact, wide_flights
+from skyledger.operators.segments import flights_view, segment_fact, wide_flights
 from skyledger.sources.tables import (
     read_table,
     replace_partitions,
@@ -68,9 +68,14 @@ def build_wide_flights(spark: SparkSession, raw: str, target: str) -> DataFrame:
 
 
 def find_connections(
-    flights: DataFrame, requests: DataFrame, output_path: str, **options: object
+    spark: SparkSession,
+    wide: str,
+    requests: DataFrame,
+    output_path: str,
+    **options: object,
 ) -> None:
-    """Answer a table of requests and write the trips as JSON lines."""
+    """Answer a table of requests from the wide table; trips go out as JSON lines."""
+    flights = flights_view(read_table(spark, wide))
     write_json_lines(conn.connections(flights, requests, **options), output_path)
 
 

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 
 from pyspark.sql import functions as F
 
 from skyledger.plans import jobs
-from skyledger.operators.segments import flights_view
 from skyledger.sources.tables import replace_table
 from tests.data import raw, airports
 
@@ -34,15 +34,15 @@ def test_raw_tables_to_recommendations(spark, tmp_path):
     assert jobs.build_segment_fact(spark, "raw_itineraries", "fact_segments").count() == 240
     wide = jobs.build_wide_flights(spark, "raw_itineraries", "wide_flights")
     assert wide.count() == 240
-    jobs.find_connections(
-        flights_view(wide).where("flight_date = date'2022-05-01'").dropDuplicates(
-            ["departure_airport_code"]
-        ),
-        spark.createDataFrame([("SFO", "PHL")], "origin string, destination string"),
-        str(tmp_path / "trips"),
+    requests = spark.createDataFrame(
+        [("SFO", "PHL", dt.date(2022, 5, 1))],
+        "origin string, destination string, flight_date date",
     )
+    jobs.find_connections(spark, "wide_flights", requests, str(tmp_path / "trips"))
     lines = [x for f in (tmp_path / "trips").glob("part-*") for x in f.read_text().splitlines()]
-    assert [json.loads(x)["route_type"] for x in lines] == ["1-transfer"]
+    first = wide.where("flight_date = '2022-05-01' and segment_index = 1").count()
+    assert len(lines) == first**2
+    assert {json.loads(x)["route_type"] for x in lines} == {"1-transfer"}
 
     training = jobs.build_training_table(spark, "fact_flight_ticket", "dim_date", "training")
     assert training.where("is_best_time_to_buy = 1").count() > 0

@@ -180,6 +180,10 @@ def test_semi_join_beyond_the_bound(spark):
     plain = left.join(keys, "k", "left_semi")
     assert same_rows(plain, semi_join(left, keys))
     assert same_rows(plain, semi_join(left, keys, small=False))
+    assert same_rows(plain, semi_join(left, keys, small=True, values={}))
+    two = right.where("v < 200")
+    wide = left.withColumn("v", F.col("k") * 10)
+    assert same_rows(wide.join(two, ["k", "v"], "left_semi"), semi_join(wide, two))
 
 
 def test_broadcast_bound(spark):
