@@ -23,7 +23,7 @@ from skyledger.functions import (
     to_date,
     unquote,
 )
-from skyledger.operators.keys import dense_key, natural_key
+from skyledger.operators.keys import assert_unique, dense_key, natural_key
 from skyledger.operators.segments import explode_segments
 from skyledger.sources.scratch import materialize
 
@@ -46,8 +46,10 @@ class Dimensions:
 
 def _keyed(members: DataFrame, by: Sequence[str], name: str, stable: bool) -> DataFrame:
     """Members are stored before they are keyed, so keys are given once."""
-    assign = natural_key if stable else dense_key
-    return assign(materialize(members, name), by, name)
+    members = materialize(members, name)
+    if stable:
+        return assert_unique(natural_key(members, by, name), [name], f"hashes of {by}")
+    return dense_key(members, by, name)
 
 
 def build_dim(

@@ -11,6 +11,7 @@ from skyledger.functions import to_bool, to_date, to_float, to_int
 from skyledger.functions.text import PATH_SEPARATOR
 from skyledger.operators.segments import WIDE_LISTS, unpack
 from skyledger.operators.skew import semi_join
+from skyledger.sources.scratch import materialize
 
 TIME_SEPARATOR = " -- "
 STOP_SEPARATOR = " | "
@@ -77,15 +78,13 @@ def select_itineraries(
             F.col("journey_final_destination") == F.upper(F.lit(destination))
         )
     if requests is not None:
-        rows = semi_join(
-            rows,
-            requests.select(
-                "search_date",
-                "flight_date",
-                F.upper("start").alias("journey_start_airport"),
-                F.upper("destination").alias("journey_final_destination"),
-            ).distinct(),
+        asked = requests.select(
+            "search_date",
+            "flight_date",
+            F.upper("start").alias("journey_start_airport"),
+            F.upper("destination").alias("journey_final_destination"),
         )
+        rows = semi_join(rows, materialize(asked.distinct(), "searches"))
     return rows
 
 

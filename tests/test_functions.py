@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
+from itertools import groupby
 
 import pytest
 from pyspark.sql import functions as F
@@ -133,3 +135,22 @@ def test_date_parts(spark):
     df = spark.createDataFrame([(dt.date(2022, 1, 1),)], "x date")
     row = df.select(*fn.date_parts(F.col("x"))).first()
     assert tuple(row) == (2022, 1, 1, 1, 7, 1, 52)
+
+
+def test_random_texts_against_plain_python(spark):
+    rng = random.Random(11)
+    pieces = [" -> ", "->", " ", "\t", "\u3000", "\x1c", "\n", "A", "B", "select", "SeLeCT"]
+    texts = ["".join(rng.choices(pieces, k=rng.randrange(12))) for _ in range(3000)]
+    rows = (
+        spark.createDataFrame([(t,) for t in texts], "t string")
+        .select(
+            "t",
+            fn.clean_path(F.col("t")).alias("path"),
+            fn.extract_select(F.col("t")).alias("query"),
+        )
+        .collect()
+    )
+    for r in rows:
+        stops = [stop.strip() for stop in r.t.split(" -> ")]
+        assert r.path == " -> ".join(stop for stop, _ in groupby(stops)), repr(r.t)
+        assert r.query == r.t[max(r.t.upper().find("SELECT"), 0):].strip(), repr(r.t)
