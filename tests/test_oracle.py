@@ -26,9 +26,14 @@ def test_entry(spark):
     assert df.count() > 0
 
 
+UNWANTED = ("CartesianProduct", "NestedLoopJoin", "BatchEvalPython", "ArrowEvalPython")
+
+
 @pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
 def test_query_equals_oracle(spark, con, name):
     df = entry.queries()[name](spark, SF_DIR)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert [bad for bad in UNWANTED if bad in plan] == []
     assert difference(df, con, entry.oracle_sql()[name]) is None
 
 
@@ -36,13 +41,3 @@ def test_scores(spark):
     df = entry.queries()["q_train_score"](spark, SF_DIR).cache()
     assert df.count() % 36 == 0 and df.count() > 0
     assert df.where("predicted_fare is null or recommendation not in (0, 1)").isEmpty()
-
-
-PYTHON_FREE = sorted(set(entry.queries()) - NO_ORACLE - {"q_feature_vectors"})
-
-
-@pytest.mark.parametrize("name", PYTHON_FREE)
-def test_plans(spark, name):
-    plan = entry.queries()[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
-    for bad in ("CartesianProduct", "NestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"):
-        assert bad not in plan
