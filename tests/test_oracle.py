@@ -6,6 +6,8 @@ import pytest
 
 import __spark_entry__ as entry
 from tests.compare import difference, duck
+from workload.oracle import ORACLE
+from workload.queries import QUERIES
 
 SF_DIR = entry.SMOKE_DIR
 NO_ORACLE = {"q_train_score"}
@@ -17,8 +19,9 @@ def con():
 
 
 def test_all_queries_but_the_model_have_an_oracle():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == NO_ORACLE
-    assert set(entry.oracle_sql()) <= set(entry.queries())
+    assert set(QUERIES) - set(ORACLE) == NO_ORACLE
+    assert set(ORACLE) <= set(QUERIES)
+    assert set(QUERIES) <= set(entry.queries())
 
 
 def test_entry(spark):
@@ -29,12 +32,12 @@ def test_entry(spark):
 UNWANTED = ("CartesianProduct", "NestedLoopJoin", "BatchEvalPython", "ArrowEvalPython")
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_equals_oracle(spark, con, name):
-    df = entry.queries()[name](spark, SF_DIR)
+    df = QUERIES[name](spark, SF_DIR)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert [bad for bad in UNWANTED if bad in plan] == []
-    assert difference(df, con, entry.oracle_sql()[name]) is None
+    assert difference(df, con, ORACLE[name]) is None
 
 
 def test_scores(spark):
