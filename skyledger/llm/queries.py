@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skyledger.llm import fingerprints, html_text, packing
+from skyledger.llm import fingerprints, html_text, packing, warc
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -25,10 +25,32 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.piece_digests(packing.pack(_read(spark, sf_dir, "documents")))
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(_read(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_fingerprints": op3_fingerprints,
     "op4_html_text": op4_html_text,
     "op5_packing": op5_packing,
+    "op8_warc": op8_warc,
 }
 
-ORACLE: dict[str, str] = {}
+OP8_SQL = """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+         sha1(coalesce(html, '')) AS payload_digest
+  FROM pages
+), g AS (
+  SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS last FROM p
+)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> last THEN 'revisit'
+            ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> last THEN last END AS refers_to
+FROM g
+"""
+
+ORACLE: dict[str, str] = {"op8_warc": OP8_SQL}
