@@ -4,16 +4,26 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skyledger.llm import packing
+from skyledger.llm import packing, quality
 from skyledger.sources.scratch import materialize
 
 
+def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go.
+
+    Labels name documents by id, so it learns from those that are still here.
+    """
+    model = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality.accepted(quality.score(docs, model))
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cut the tokens of every document into pieces of power-of-two length."""
     return packing.piece_digests(packing.pack(docs))
 
 
 STAGES = [
+    ("quality classifier", classify_quality),
     ("packing", pack),
 ]
 

@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skyledger.llm import fingerprints, html_text, packing, warc
+from skyledger.llm import fingerprints, html_text, packing, quality, warc
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
 def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_edited(_read(spark, sf_dir, "documents"))
 
@@ -32,6 +36,7 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality": op1_quality,
     "op3_fingerprints": op3_fingerprints,
     "op4_html_text": op4_html_text,
     "op5_packing": op5_packing,
