@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from skyledger.llm import packing, quality
+from skyledger.llm import line_dedup, packing, quality
 from skyledger.sources.scratch import materialize
 
 
@@ -17,6 +18,12 @@ def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return quality.accepted(quality.score(docs, model))
 
 
+def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines on more than a tenth of a source's documents go; no document does."""
+    kept = line_dedup.drop_boilerplate(docs).select(*docs.columns)
+    return kept.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), "n_chars"))
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cut the tokens of every document into pieces of power-of-two length."""
     return packing.piece_digests(packing.pack(docs))
@@ -24,6 +31,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality classifier", classify_quality),
+    ("line dedup", dedup_lines),
     ("packing", pack),
 ]
 

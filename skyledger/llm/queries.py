@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skyledger.llm import fingerprints, html_text, packing, quality, warc
+from skyledger.llm import fingerprints, html_text, line_dedup, packing, quality, warc
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -17,6 +17,11 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return line_dedup.drop_boilerplate(docs)
+
+
 def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_edited(_read(spark, sf_dir, "documents"))
 
@@ -37,12 +42,44 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
+    "op2_line_dedup": op2_line_dedup,
     "op3_fingerprints": op3_fingerprints,
     "op4_html_text": op4_html_text,
     "op5_packing": op5_packing,
     "op8_warc": op8_warc,
 }
 
+OP2_SQL = """
+WITH d AS (
+  SELECT doc_id, source, text, string_split(text, chr(10)) AS lines,
+         list_transform(string_split(text, chr(10)),
+                        lambda x: trim(x, ' ' || chr(9) || chr(13))) AS bare
+  FROM documents
+), l AS (
+  SELECT source, unnest(list_distinct(list_filter(bare, lambda x: x <> ''))) AS line FROM d
+), t AS (
+  SELECT source, count(*) AS total FROM documents GROUP BY source
+), b AS (
+  SELECT l.source, l.line
+  FROM l JOIN t ON l.source IS NOT DISTINCT FROM t.source
+  GROUP BY l.source, l.line, t.total
+  HAVING count(*) >= 5 AND count(*) > t.total * CAST(0.1 AS DOUBLE)
+), h AS (
+  SELECT source, list(line) AS dropped FROM b GROUP BY source
+), k AS (
+  SELECT d.doc_id, d.source, d.text, d.lines, d.bare,
+         CASE WHEN h.dropped IS NULL THEN d.lines
+              ELSE list_filter(d.lines, lambda x: NOT list_contains(
+                     h.dropped, trim(x, ' ' || chr(9) || chr(13)))) END AS kept
+  FROM d LEFT JOIN h ON d.source IS NOT DISTINCT FROM h.source
+)
+SELECT doc_id, source,
+       CASE WHEN text IS NOT NULL THEN array_to_string(kept, chr(10)) END AS text,
+       CAST(coalesce(len(list_filter(bare, lambda x: x <> '')), 0) AS BIGINT) AS n_lines,
+       CAST(coalesce(len(lines) - len(kept), 0) AS BIGINT) AS n_dropped
+FROM k
+"""
+
 OP8_SQL = """
 WITH p AS (
   SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
@@ -58,4 +95,7 @@ SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
 FROM g
 """
 
-ORACLE: dict[str, str] = {"op8_warc": OP8_SQL}
+ORACLE: dict[str, str] = {
+    "op2_line_dedup": OP2_SQL,
+    "op8_warc": OP8_SQL,
+}

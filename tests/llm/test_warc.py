@@ -4,7 +4,8 @@ from hashlib import sha1
 
 import pytest
 
-from skyledger.llm import warc
+from skyledger.llm import queries, warc
+from tests.compare import difference, duck
 
 D = "/root/testdata/sf0.001"
 SCHEMA = "page_id long, url string, html string, record_type string"
@@ -87,3 +88,8 @@ def test_a_lost_segment_is_an_error(spark, archive, tmp_path, lost):
     (tmp_path / "cut" / "part-0").write_bytes(b"".join(r + b"\r\n\r\n" for r in found))
     with pytest.raises(Exception, match="missing or cut short"):
         warc.read_archive(spark, f"{tmp_path}/cut").collect()
+
+
+def test_query_equals_oracle(spark):
+    df = queries.op8_warc(spark, D)
+    assert difference(df, duck(D), queries.ORACLE["op8_warc"]) is None
