@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import line_dedup, packing, quality
+from skyledger.llm import line_dedup, packing, quality, secrets
 from skyledger.sources.scratch import materialize
 
 
@@ -24,6 +24,12 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return kept.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), "n_chars"))
 
 
+def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every span that the scan reports gives way to a mask; no document goes."""
+    masked = secrets.redact(secrets.find_secrets(docs)).select(*docs.columns)
+    return masked.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), "n_chars"))
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cut the tokens of every document into pieces of power-of-two length."""
     return packing.piece_digests(packing.pack(docs))
@@ -32,6 +38,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("quality classifier", classify_quality),
     ("line dedup", dedup_lines),
+    ("secret scans", mask_secrets),
     ("packing", pack),
 ]
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skyledger.llm import fingerprints, html_text, line_dedup, packing, quality, warc
+from skyledger.llm import fingerprints, html_text, line_dedup, packing, quality, secrets, warc
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -34,6 +34,11 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.piece_digests(packing.pack(_read(spark, sf_dir, "documents")))
 
 
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    return secrets.span_digests(secrets.find_secrets(docs, ["doc_id"]))
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(_read(spark, sf_dir, "pages")).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
@@ -46,6 +51,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_fingerprints": op3_fingerprints,
     "op4_html_text": op4_html_text,
     "op5_packing": op5_packing,
+    "op6_secrets": op6_secrets,
     "op8_warc": op8_warc,
 }
 
