@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import line_dedup, packing, quality, secrets
+from skyledger.llm import line_dedup, near_dedup, packing, quality, secrets
 from skyledger.sources.scratch import materialize
 
 
@@ -24,6 +24,11 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return kept.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), "n_chars"))
 
 
+def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays, the one with the least id."""
+    return near_dedup.one_of_each(docs)
+
+
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every span that the scan reports gives way to a mask; no document goes."""
     masked = secrets.redact(secrets.find_secrets(docs)).select(*docs.columns)
@@ -38,6 +43,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("quality classifier", classify_quality),
     ("line dedup", dedup_lines),
+    ("MinHash near-dedup", dedup_near),
     ("secret scans", mask_secrets),
     ("packing", pack),
 ]

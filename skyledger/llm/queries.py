@@ -6,7 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skyledger.llm import fingerprints, html_text, line_dedup, packing, quality, secrets, warc
+from skyledger.llm import (
+    fingerprints,
+    html_text,
+    line_dedup,
+    near_dedup,
+    packing,
+    quality,
+    secrets,
+    warc,
+)
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -45,6 +54,13 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    return near_dedup.near_duplicates(docs, ["doc_id"]).select(
+        "doc_id", "n_shingles", "component_id", "kept"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_line_dedup": op2_line_dedup,
@@ -53,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_packing": op5_packing,
     "op6_secrets": op6_secrets,
     "op8_warc": op8_warc,
+    "op10_near_dedup": op10_near_dedup,
 }
 
 OP2_SQL = """
