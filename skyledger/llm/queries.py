@@ -11,6 +11,7 @@ from skyledger.llm import (
     html_text,
     line_dedup,
     near_dedup,
+    neighbours,
     packing,
     quality,
     secrets,
@@ -54,6 +55,10 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest_of_every(_read(spark, sf_dir, "embeddings"))
+
+
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents")
     return near_dedup.near_duplicates(docs, ["doc_id"]).select(
@@ -69,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_packing": op5_packing,
     "op6_secrets": op6_secrets,
     "op8_warc": op8_warc,
+    "op9_neighbours": op9_neighbours,
     "op10_near_dedup": op10_near_dedup,
 }
 
