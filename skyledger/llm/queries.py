@@ -15,6 +15,7 @@ from skyledger.llm import (
     packing,
     quality,
     secrets,
+    sentence_pieces,
     warc,
 )
 
@@ -49,6 +50,10 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.span_digests(secrets.find_secrets(docs, ["doc_id"]))
 
 
+def op7_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentence_pieces.round_trip(_read(spark, sf_dir, "documents"))
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(_read(spark, sf_dir, "pages")).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
@@ -73,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_html_text": op4_html_text,
     "op5_packing": op5_packing,
     "op6_secrets": op6_secrets,
+    "op7_sentence_pieces": op7_sentence_pieces,
     "op8_warc": op8_warc,
     "op9_neighbours": op9_neighbours,
     "op10_near_dedup": op10_near_dedup,
