@@ -12,7 +12,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 SLICE_ROWS = 256
 SLICE_BYTES = 4 << 20
@@ -58,11 +60,29 @@ def map_slices(
     return df.mapInArrow(run, schema)
 
 
+def text_udf(
+    make: Callable[[], Callable[[list[str]], pa.Array]], kind: T.DataType
+) -> Callable:
+    """A column function of a text column, computed slice by slice.
+
+    Only the texts go to Python and only the results come back; the other columns of
+    the row stay where they are. ``make`` runs once per task and gives a function of
+    texts (a null is an empty one).
+    """
+    empty = pa.array([], to_arrow_type(kind))
+
+    @F.arrow_udf(kind)
+    def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        apply = make()
+        for column in columns:
+            batch = pa.RecordBatch.from_arrays([column], names=["text"])
+            parts = [apply(texts(part, "text")) for part in slices(batch, "text")]
+            yield pa.concat_arrays([empty, *parts])
+
+    return run
+
+
 def without(df: DataFrame, *names: str) -> DataFrame:
     """``df`` without columns of these names in any case; output columns replace them."""
     taken = {n.lower() for n in names}
     return df.select(*[f"`{c}`" for c in df.columns if c.lower() not in taken])
-
-
-def schema_with(df: DataFrame, *fields: T.StructField) -> T.StructType:
-    return T.StructType([*df.schema.fields, *fields])

@@ -38,9 +38,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from skyledger.llm import shingles as sh
-from skyledger.llm.arrow import map_slices, texts, without
+from skyledger.llm.arrow import map_slices, text_udf, without
 from skyledger.llm.components import components
 from skyledger.sources.scratch import materialize
 
@@ -53,51 +54,43 @@ BLOCK_SHINGLES = 400_000
 _SETS_KEPT = 64
 
 
-def sketched(docs: DataFrame) -> DataFrame:
-    """All columns and ``_row``, ``_n``, ``_set`` (two longs), ``_bands``, ``_registers``."""
-    fields = [
-        T.StructField("_n", T.LongType()),
-        T.StructField("_c1", T.LongType()),
-        T.StructField("_c2", T.LongType()),
-        T.StructField("_bands", T.ArrayType(T.LongType())),
-        T.StructField("_registers", T.BinaryType()),
+SKETCH = T.StructType(
+    [
+        T.StructField("n", T.LongType()),
+        T.StructField("c1", T.LongType()),
+        T.StructField("c2", T.LongType()),
+        T.StructField("bands", T.ArrayType(T.LongType())),
+        T.StructField("registers", T.BinaryType()),
     ]
-    names = docs.columns
+)
 
-    def make():
-        of = sh.Shingler()
 
-        def apply(part):
-            n, c1, c2, keys, registers = [], [], [], [], []
-            for text in texts(part):
-                found = of.shingles(text)
-                n.append(len(found))
-                digest = blake2b(found.tobytes(), digest_size=16).digest()
-                c1.append(int.from_bytes(digest[:8], "little", signed=True))
-                c2.append(int.from_bytes(digest[8:], "little", signed=True))
-                if len(found):
-                    r = sh.registers(found)
-                    keys.append(sh.bands(r).tolist())
-                    registers.append(r.tobytes())
-                else:
-                    keys.append(None)
-                    registers.append(None)
-            return pa.RecordBatch.from_arrays(
-                [
-                    *part.columns,
-                    pa.array(n, pa.int64()),
-                    pa.array(c1, pa.int64()),
-                    pa.array(c2, pa.int64()),
-                    pa.array(keys, pa.list_(pa.int64())),
-                    pa.array(registers, pa.binary()),
-                ],
-                names=[*names, *(f.name for f in fields)],
-            )
+def sketched(docs: DataFrame) -> DataFrame:
+    """All columns and ``_row``, ``_n``, ``_c1``, ``_c2`` (a digest), ``_bands``, ``_registers``."""
 
-        return apply
+    def make():
+        of = sh.Shingler()
 
-    out = map_slices(docs, make, T.StructType([*docs.schema.fields, *fields]))
-    return out.withColumn("_row", F.monotonically_increasing_id())
+        def sketch(text):
+            found = of.shingles(text)
+            digest = blake2b(found.tobytes(), digest_size=16).digest()
+            registers = sh.registers(found) if len(found) else None
+            return {
+                "n": len(found),
+                "c1": int.from_bytes(digest[:8], "little", signed=True),
+                "c2": int.from_bytes(digest[8:], "little", signed=True),
+                "bands": None if registers is None else sh.bands(registers).tolist(),
+                "registers": None if registers is None else registers.tobytes(),
+            }
+
+        return lambda found: pa.array(map(sketch, found), to_arrow_type(SKETCH))
+
+    out = docs.withColumn("_sketch", text_udf(make, SKETCH)("text"))
+    return out.select(
+        *[f"`{c}`" for c in docs.columns],
+        *[F.col(f"_sketch.{f}").alias(f"_{f}") for f in SKETCH.names],
+        F.monotonically_increasing_id().alias("_row"),
+    )
 
 
 def _matrix(column) -> np.ndarray:

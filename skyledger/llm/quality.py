@@ -15,8 +15,8 @@ this sample reach the driver. Scoring is one narrow pass over whole texts.
 
 Cases: a null or empty text is a document of one empty line. Documents labelled in
 two ways teach nothing. Without labels all scores are 0.5. Repeated rows get a row each,
-an empty table gives none, other columns are kept as asked; one named like the score
-is replaced.
+an empty table gives none, other columns are kept; one named like the score is
+replaced.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skyledger.llm.arrow import map_slices, texts, without
+from skyledger.llm.arrow import map_slices, text_udf, texts, without
 
 TRAIN_DOCS = 4000
 TRAIN_LINES = 2000
@@ -278,26 +278,15 @@ def train(docs: DataFrame, labels: DataFrame, max_docs: int = TRAIN_DOCS) -> Crf
 SCORE = "quality_score"
 
 
-def score(docs: DataFrame, model: Crf, keep: list[str] | None = None) -> DataFrame:
-    """Columns ``keep`` (all, if not given) and ``quality_score`` of every document."""
-    docs = without(docs, SCORE)
-    keep = docs.columns if keep is None else keep
+def score(docs: DataFrame, model: Crf) -> DataFrame:
+    """The documents with ``quality_score``; a column of that name is replaced."""
     weights, pairs = model.weights, model.pairs
-    fields = [docs.schema[c] for c in keep]
-    schema = T.StructType([*fields, T.StructField(SCORE, T.DoubleType())])
 
     def make():
         crf = Crf(weights, pairs)
+        return lambda found: pa.array(crf.scores(Lines.of(found)), pa.float64())
 
-        def apply(part):
-            found = pa.array(crf.scores(Lines.of(texts(part))), pa.float64())
-            kept = [part.column(part.schema.get_field_index(c)) for c in keep]
-            return pa.RecordBatch.from_arrays([*kept, found], names=[*keep, SCORE])
-
-        return apply
-
-    read = list(dict.fromkeys([*keep, "text"]))
-    return map_slices(docs.select(*[f"`{c}`" for c in read]), make, schema)
+    return without(docs, SCORE).withColumn(SCORE, text_udf(make, T.DoubleType())("text"))
 
 
 def accepted(scored: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -307,8 +296,7 @@ def accepted(scored: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``doc_id``, ``held_out``, ``score``, ``predicted`` of every document."""
-    scored = score(docs, train(docs, labels), ["doc_id"])
-    return scored.select(
+    return score(docs, train(docs, labels)).select(
         "doc_id",
         held_out().alias("held_out"),
         F.col(SCORE).alias("score"),

@@ -12,7 +12,7 @@ REGISTERS = BANDS * ROWS
 #: A register has 6 bits for leading zeros and these for the bits after the first one.
 MANTISSA_BITS = 10
 #: Word hashes a worker remembers.
-REMEMBERED = 500_000
+REMEMBERED = 200_000
 _CHUNK = 2048
 _PRIME = 0x9E3779B97F4A7C15
 
