@@ -23,10 +23,13 @@ HEADLINE = [
     "q_wide",
     "q_serving_segments",
     "q_dim_airline",
+    "q_dim_flight_details",
     "q_dim_date",
     "q_star_fact",
+    "q_lookup_normalized",
     "q_partition_scan",
     "q_itinerary_search",
+    "q_itinerary_requests",
     "q_itinerary_packed",
     "q_cheapest20",
     "q_one_transfer",

@@ -65,8 +65,10 @@ def build_dim(
     the default are dense ranks.
     """
     attributes = [c for c in columns if c != code]
+    # Spellings are few: hashed first, so that only they are sorted.
+    spellings = df.select(lookup_key(F.col(code)).alias("_code"), *columns).distinct()
     members = (
-        df.groupBy(lookup_key(F.col(code)).alias("_code"))
+        spellings.groupBy("_code")
         .agg(F.min(F.struct(code, *attributes)).alias("_row"))
         .select("_code", *[F.col(f"_row.{c}").alias(c) for c in columns])
     )

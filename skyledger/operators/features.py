@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyledger.operators.skew import HOT_KEY_ROWS, MAX_HOT_KEYS, lookup_join
+from skyledger.operators.skew import lookup_join
 from skyledger.sources.scratch import materialize
 
 # A fare within 5 % of the lowest one seen for its leg is a good time to buy.
@@ -34,43 +34,22 @@ def fare_features(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
     )
 
 
-def best_time_label(
-    features: DataFrame,
-    leg: str = "leg_id",
-    hot_rows: int = HOT_KEY_ROWS,
-    max_hot: int = MAX_HOT_KEYS,
-) -> DataFrame:
+def best_time_label(features: DataFrame, leg: str = "leg_id") -> DataFrame:
     """Add ``is_best_time_to_buy``: 1 if the fare is near the lowest of its leg.
 
     The lowest fare is aggregated per leg first and joined back, instead of a
-    window that would put all rows of a leg into one task. Rows of legs with more
-    than ``hot_rows`` rows (and rows without a leg) get it from a broadcast of
-    those legs alone and are not shuffled; the rest are joined by leg. A row
-    without a fare gets 0.
+    window that would put all rows of a leg into one task. The lowest fares are
+    stored: they are broadcast if few, and else the adaptive planner splits the
+    rows of a hot leg, or those without one, over tasks. Pass a stored table, as it
+    is read twice. A row without a fare gets 0.
     """
-    per_leg = materialize(
-        features.groupBy(F.col(leg).alias("_leg")).agg(
-            F.min("total_fare").alias("_lowest"), F.count(F.lit(1)).alias("_n")
-        ),
+    lowest = materialize(
+        features.groupBy(F.col(leg).alias("_leg")).agg(F.min("total_fare").alias("_lowest")),
         "lowest-fares",
     )
-    has_leg = F.col("_leg").isNotNull()
-    hot = (
-        per_leg.where(has_leg & (F.col("_n") > hot_rows))
-        .orderBy(F.col("_n").desc())
-        .limit(max_hot)
-        .unionAll(per_leg.where(~has_leg))
-        .select("_leg", "_lowest")
-    )
-    hot = F.broadcast(hot)
-    same = F.col(leg).eqNullSafe(F.col("_leg"))
-    from_hot = features.join(hot, same)
-    from_cold = features.join(hot, same, "left_anti").join(
-        per_leg.select("_leg", "_lowest"), F.col(leg) == F.col("_leg")
-    )
     near = F.col("total_fare") <= F.col("_lowest") * BEST_BUY_MARGIN
     return (
-        from_hot.unionAll(from_cold)
+        features.join(lowest, F.col(leg).eqNullSafe(F.col("_leg")))
         .withColumn("is_best_time_to_buy", F.when(near, 1).otherwise(0))
         .drop("_leg", "_lowest")
     )

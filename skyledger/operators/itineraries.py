@@ -91,11 +91,13 @@ def select_itineraries(
 def reassemble(segments: DataFrame) -> DataFrame:
     """One row per itinerary: price, route, flying time and timeline.
 
-    A group is one itinerary of one search, so it has a handful of segments.
-    Copies of a segment row, from a search that was loaded twice, count once and
-    are merged before the shuffle, however many there are.
+    A group is one itinerary of one search, told by its fare and ``trip_key`` as
+    well, so it has a handful of segments even if many itineraries share a leg or
+    have none. Copies of a segment row, from a search that was loaded twice, count
+    once and are merged before the shuffle, however many there are.
     """
-    grouped = segments.groupBy("search_date", "flight_date", "leg_id").agg(
+    trip = ("search_date", "flight_date", "leg_id", "total_fare", "trip_key")
+    grouped = segments.groupBy(*trip).agg(
         F.sort_array(
             F.collect_set(
                 F.struct(
@@ -108,7 +110,6 @@ def reassemble(segments: DataFrame) -> DataFrame:
                 )
             )
         ).alias("_s"),
-        F.min_by("total_fare", "segment_index").alias("total_fare"),
     )
     return grouped.select(
         "search_date", "flight_date", "leg_id", "total_fare", *_report(F.col("_s"))

@@ -133,11 +133,17 @@ def segment_fact(raw: DataFrame, on_null: str = "drop") -> DataFrame:
 
 
 def wide_flights(raw: DataFrame, on_null: str = "drop") -> DataFrame:
-    """``wide_flight_analytics``: segments with departure and arrival times."""
+    """``wide_flight_analytics``: segments with departure and arrival times.
+
+    ``trip_key`` is a hash of what the itinerary was loaded with, the same for all
+    its segments: it tells trips apart that share a leg, or have none.
+    """
+    lists = tuple(WIDE_LISTS.values())
+    trip = F.xxhash64("leg_id", "total_fare", *lists).alias("trip_key")
     rows = explode_segments(
-        _dated(raw, tuple(WIDE_LISTS.values())),
+        _dated(raw, (*lists, trip)),
         WIDE_LISTS,
-        _CONTEXT,
+        (*_CONTEXT, "trip_key"),
         on_null,
         count_from="segment_departure_airport",
     )
@@ -159,13 +165,15 @@ def wide_flights(raw: DataFrame, on_null: str = "drop") -> DataFrame:
         "segment_arrival_time_raw",
         to_long(F.col("segment_departure_epoch")).alias("segment_departure_epoch"),
         to_long(F.col("segment_arrival_epoch")).alias("segment_arrival_epoch"),
+        "trip_key",
     )
 
 
 def flights_view(wide: DataFrame) -> DataFrame:
     """The columns connection search needs, one flight per segment.
 
-    The fare is that of the whole itinerary, as in the ticket fact.
+    The fare is that of the whole itinerary, as in the ticket fact. A flight is
+    there again for each search that saw it, hence the search date.
     """
     return wide.select(
         "leg_id",
@@ -178,6 +186,7 @@ def flights_view(wide: DataFrame) -> DataFrame:
             "total_duration_in_minutes"
         ),
         "flight_date",
+        "search_date",
     )
 
 

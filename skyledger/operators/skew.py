@@ -9,24 +9,29 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from skyledger.sources.scratch import materialize
+
 # A side up to this size is broadcast.
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 * 1024 * 1024
-# A key with more rows than this does not go through the shuffle of a lookup.
-HOT_KEY_ROWS = 1_000_000
-# Bounds the list of such keys. Any key above 1/MAX_HOT_KEYS of the rows is on it.
-MAX_HOT_KEYS = 10_000
 # Up to this many values of a column become a filter list.
 MAX_LISTED = 400
 
 
+def _width(field: T.StructField) -> Column:
+    """Bytes of a value; nested ones by their text form, unknown kinds as too large."""
+    c, kind = F.col(f"`{field.name}`"), field.dataType
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(c), F.lit(0)) + 16
+    if isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
+        return F.coalesce(F.octet_length(F.to_json(c)), F.lit(0)) * 2 + 32
+    if isinstance(kind, T.UserDefinedType):
+        return F.lit(BROADCAST_BYTES + 1)
+    return F.lit(8)
+
+
 def _size(df: DataFrame) -> DataFrame:
-    width = F.lit(0).cast("bigint")
-    for field in df.schema.fields:
-        if isinstance(field.dataType, T.StringType):
-            width = width + F.coalesce(F.octet_length(field.name), F.lit(0)) + 16
-        else:
-            width = width + 8
+    width = reduce(lambda a, b: a + b, map(_width, df.schema.fields)).cast("bigint")
     return df.agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("b"))
 
 
@@ -49,89 +54,35 @@ def fits_broadcast(
     return which_fit_broadcast([df], max_rows, max_bytes)[0]
 
 
-def all_known(names: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, [F.col(n).isNotNull() for n in names])
-
-
-def hot_keys(
-    df: DataFrame,
-    on: Sequence[str],
-    min_rows: int = HOT_KEY_ROWS,
-    max_keys: int = MAX_HOT_KEYS,
-) -> DataFrame:
-    """The keys with more than ``min_rows`` rows, at most the ``max_keys`` largest.
-
-    Counted with a partial count per task first, so a hot key is cheap to count.
-    """
-    return (
-        df.where(all_known(on))
-        .groupBy(*on)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") > min_rows)
-        .orderBy(F.col("_n").desc())
-        .limit(max_keys)
-        .select(*on)
-    )
-
-
 def lookup_join(
     left: DataFrame,
     right: DataFrame,
     on: Sequence[str],
     how: str = "left",
     small: bool | None = None,
-    hot_rows: int = HOT_KEY_ROWS,
 ) -> DataFrame:
     """Join ``right``, which has one row per key, to ``left`` (left or inner).
 
-    A ``right`` that fits is broadcast, so ``left`` is not moved at all. Beyond
-    that bound the join shuffles, but only rows whose key is not hot: rows of hot
-    keys meet a broadcast of just those keys, and rows with a NULL key have no
-    partner and need none. ``small`` tells whether ``right`` fits, if known.
+    A ``right`` that fits is broadcast, so ``left`` is not moved at all. Beyond that
+    bound it is stored and both sides are shuffled once; then each side of the join
+    is an exchange of its own, which lets the adaptive planner split the rows of a
+    hot key, or of a missing one, over tasks. ``small`` tells whether ``right`` fits,
+    if known.
     """
     if how not in ("left", "inner"):
         raise ValueError(how)
     if fits_broadcast(right) if small is None else small:
         return left.join(F.broadcast(right), list(on), how)
-    return isolating_join(left, right, on, how, hot_rows)
-
-
-def isolating_join(
-    left: DataFrame,
-    right: DataFrame,
-    on: Sequence[str],
-    how: str = "left",
-    hot_rows: int = HOT_KEY_ROWS,
-) -> DataFrame:
-    """The part of ``lookup_join`` beyond the broadcast bound."""
-    on = list(on)
-    names = left.columns + [c for c in right.columns if c not in on]
-    hot = hot_keys(left, on, hot_rows)
-    known = right.join(F.broadcast(hot), on, "left_semi")
-    members = hot.join(F.broadcast(known), on, how)
-    from_hot = left.join(F.broadcast(members), on, "inner")
-    from_cold = (
-        left.where(all_known(on))
-        .join(F.broadcast(hot), on, "left_anti")
-        .join(right, on, how)
-    )
-    out = from_hot.select(*names).unionAll(from_cold.select(*names))
-    if how == "inner":
-        return out
-    types = {f.name: f.dataType for f in right.schema.fields}
-    keyless = left.where(~all_known(on)).select(
-        *left.columns,
-        *[F.lit(None).cast(types[c]).alias(c) for c in names if c not in left.columns],
-    )
-    return out.unionAll(keyless)
+    return left.join(materialize(right, "lookup"), list(on), how)
 
 
 def listed_values(keys: DataFrame, limit: int = MAX_LISTED) -> dict[str, list]:
     """The values of each column of a small table that has few different ones."""
-    found = keys.agg(
-        *[F.slice(F.collect_set(c), 1, limit + 1).alias(c) for c in keys.columns]
-    ).first()
-    return {c: found[c] for c in keys.columns if len(found[c]) <= limit}
+    found = {
+        c: [r[0] for r in keys.select(c).distinct().limit(limit + 1).collect()]
+        for c in keys.columns
+    }
+    return {c: v for c, v in found.items() if len(v) <= limit}
 
 
 def semi_join(
@@ -140,18 +91,20 @@ def semi_join(
     small: bool | None = None,
     values: Mapping[str, list] | None = None,
 ) -> DataFrame:
-    """Rows of ``left`` whose key is in ``keys`` (distinct rows, same column names).
+    """Rows of ``left`` whose key is in ``keys``, a stored table (same column names).
 
     Short lists of values also become plain filters, which skip the partitions and
     row groups of ``left`` that a join would have read. ``small`` tells whether
     ``keys`` fits a broadcast and ``values`` are those lists, if known already.
+    Beyond that bound ``left`` is still read once, and its hot keys are split by the
+    adaptive planner.
     """
     if not (fits_broadcast(keys) if small is None else small):
-        return isolating_join(left, keys, keys.columns, "inner")
+        return left.join(keys, keys.columns, "left_semi")
     values = listed_values(keys) if values is None else values
     listed = [c for c in keys.columns if c in values]
     for name in listed:
         left = left.where(F.col(name).isin(values[name]))
     if listed == keys.columns and len(listed) == 1:
         return left
-    return left.join(F.broadcast(keys), keys.columns, "left_semi")
+    return left.join(F.broadcast(keys.distinct()), keys.columns, "left_semi")

@@ -6,16 +6,25 @@ import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from skyledger.functions import clean_path
 from skyledger.operators import connections as conn
 from skyledger.operators import dimensions as dims
 from skyledger.operators.fact import FACT_PARTITIONS, star_fact
 from skyledger.operators.features import best_time_label, fare_features, route_price_rule
+from skyledger.operators.itineraries import itinerary_search, with_report_headings
 from skyledger.operators.model import TrainedModel, load_model, save_model, train_fare_model
 from skyledger.operators.scoring import ROUTE, recommend, scenario_grid
 from skyledger.operators.segments import flights_view, segment_fact, wide_flights
+from skyledger.sources.lookup_files import (
+    airports_table,
+    countries_table,
+    load_lookup_csv,
+)
+from skyledger.sources.scratch import materialize
 from skyledger.sources.tables import (
+    read_partition,
     read_table,
     replace_partitions,
     replace_table,
@@ -79,6 +88,46 @@ def find_connections(
     write_json_lines(conn.connections(flights, requests, **options), output_path)
 
 
+def report_itineraries(
+    spark: SparkSession,
+    root: str,
+    schema: T.StructType,
+    search_date: str | dt.date,
+    flight_date: str | dt.date,
+    start: str,
+    destination: str,
+) -> DataFrame:
+    """Itineraries of one search on one day, cheapest first, with report headings.
+
+    Reads the one folder of the stored wide table at ``root``; no rows if it is missing.
+    """
+    days = {
+        name: day if isinstance(day, dt.date) else dt.date.fromisoformat(day)
+        for name, day in (("search_date", search_date), ("flight_date", flight_date))
+    }
+    rows = read_partition(spark, root, schema, **days)
+    found = itinerary_search(rows, start=start, destination=destination)
+    return with_report_headings(found)
+
+
+def import_lookups(
+    spark: SparkSession,
+    airports_csv: str,
+    countries_csv: str,
+    airports: str,
+    countries: str,
+    encoding: str = "UTF-8",
+    fallback_encoding: str | None = None,
+) -> None:
+    """Load, clean and store both reference files as tables."""
+    for path, clean, target in (
+        (airports_csv, airports_table, airports),
+        (countries_csv, countries_table, countries),
+    ):
+        loaded = load_lookup_csv(spark, path, None, encoding, fallback_encoding)
+        replace_table(clean(loaded), target)
+
+
 def clean_itinerary_paths(
     spark: SparkSession,
     source: str,
@@ -95,7 +144,7 @@ def build_training_table(
     spark: SparkSession, fact: str, dim_date: str, target: str
 ) -> DataFrame:
     features = fare_features(read_table(spark, fact), read_table(spark, dim_date))
-    return replace_table(best_time_label(features), target)
+    return replace_table(best_time_label(materialize(features, "features")), target)
 
 
 def build_price_rules(spark: SparkSession, fact: str, target: str) -> DataFrame:

@@ -24,11 +24,13 @@ AIRPORT_COLUMN_TYPES = {"name": "VARCHAR(255)", "type": "VARCHAR(255)"}
 
 
 def _read_csv(spark, paths: list[str], encoding: str) -> DataFrame:
+    """Records may hold quoted line breaks, so a file is read by one task."""
     return (
         spark.read.option("header", True)
         .option("encoding", encoding)
         .option("escape", '"')
         .option("enforceSchema", False)
+        .option("multiLine", True)
         .csv(paths)
     )
 
@@ -60,6 +62,8 @@ def load_lookup_csv(
     ``spark.sql.legacy.javaCharsets``.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
+    if not paths:
+        raise ValueError("no files to read")
     if fallback_encoding is None:
         groups = [(paths, encoding)]
     else:

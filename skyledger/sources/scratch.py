@@ -19,7 +19,8 @@ def scratch_root(spark: SparkSession) -> str:
     """A folder of this application's own below ``spark.checkpoint.dir``."""
     app = spark.sparkContext.applicationId
     if app not in _roots:
-        shared = spark.conf.get("spark.checkpoint.dir", None)
+        context = spark.sparkContext
+        shared = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
         if not shared:
             if not spark.sparkContext.master.startswith("local"):
                 raise RuntimeError(
@@ -36,3 +37,12 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex[:8]}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what this application stored; frames that read it stop working."""
+    root = _roots.pop(spark.sparkContext.applicationId, None)
+    if root is not None:
+        jvm = spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(root)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

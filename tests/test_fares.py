@@ -32,10 +32,18 @@ FARES = [
 ]
 
 
-@pytest.mark.parametrize("hot_rows", [0, 1, 2, 1000])
-def test_label(spark, hot_rows):
+@pytest.fixture(params=["10485760", "-1"])
+def broadcast_limit(spark, request):
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    old = spark.conf.get(name)
+    spark.conf.set(name, request.param)
+    yield
+    spark.conf.set(name, old)
+
+
+def test_label(spark, broadcast_limit):
     df = spark.createDataFrame(FARES, "leg_id string, total_fare double")
-    labels = best_time_label(df, hot_rows=hot_rows)
+    labels = best_time_label(df)
     assert labels.columns == ["leg_id", "total_fare", "is_best_time_to_buy"]
     got = sorted(labels.collect(), key=str)
     best = {("a", 100.0), ("a", 105.0), ("c", 7.0), (None, 10.0)}
@@ -44,7 +52,7 @@ def test_label(spark, hot_rows):
         assert r.is_best_time_to_buy == ((r.leg_id, r.total_fare) in best)
 
 
-def test_label_equals_window_with_a_hot_leg_and_copies(spark):
+def test_label_equals_window_with_a_hot_leg_and_copies(spark, broadcast_limit):
     leg = F.when(F.col("id") % 3 == 0, "hot").otherwise((F.col("id") % 97).cast("string"))
     fare = F.when(F.col("id") % 2 == 0, 50.0).otherwise((F.col("id") % 60 + 48).cast("double"))
     df = spark.range(3000).select(leg.alias("leg_id"), fare.alias("total_fare"))
@@ -54,8 +62,10 @@ def test_label_equals_window_with_a_hot_leg_and_copies(spark):
         "if(total_fare <= min(total_fare) over (partition by leg_id) * 1.05D, 1, 0) "
         "as is_best_time_to_buy",
     )
-    assert same_rows(window, best_time_label(df, hot_rows=500))
-    assert same_rows(window, best_time_label(df, hot_rows=500, max_hot=1))
+    labels = best_time_label(df)
+    assert same_rows(window, labels)
+    plan = labels._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" not in plan and plan.count("Range (") == 1
 
 
 def test_features_drop_rows_without_a_flight_date(spark):

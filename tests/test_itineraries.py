@@ -81,3 +81,16 @@ def test_search_reads_only_its_partition(spark, tmp_path):
     plan = found._jdf.queryExecution().executedPlan().toString()
     filters = plan.split("PartitionFilters: [")[1].split("]")[0]
     assert "search_date" in filters and "flight_date" in filters
+
+
+def test_trips_that_share_a_leg_or_have_none(spark):
+    rows = [
+        {"total_fare": "100"}, {"total_fare": "200"}, {"total_fare": "200"},
+        {"leg_id": None, "segments_airline_name": "A||B"},
+        {"leg_id": None, "segments_airline_name": "C||D"},
+    ]
+    found = itinerary_search(wide_flights(raw(spark, *rows))).collect()
+    assert [(r.leg_id, r.total_fare) for r in found] == [
+        ("L1", 100.0), (None, 123.5), (None, 123.5), ("L1", 200.0)
+    ]
+    assert all(r.full_path == "SFO -> DEN -> PHL" for r in found)

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import os
 
 from pyspark.sql import functions as F
 
 from skyledger.plans import jobs
-from skyledger.sources.tables import replace_table
+from skyledger.operators.itineraries import REPORT_HEADINGS
+from skyledger.sources.scratch import clear_scratch, materialize, scratch_root
+from skyledger.sources.tables import replace_path, replace_table
 from tests.data import raw, airports
 
 
@@ -40,10 +43,25 @@ def test_raw_tables_to_recommendations(spark, tmp_path):
     )
     jobs.find_connections(spark, "wide_flights", requests, str(tmp_path / "trips"))
     lines = [x for f in (tmp_path / "trips").glob("part-*") for x in f.read_text().splitlines()]
-    first = wide.where("flight_date = '2022-05-01' and segment_index = 1").count()
-    assert len(lines) == first**2
+    first = wide.where("flight_date = '2022-05-01' and segment_index = 1")
+    per_search = [r["count"] for r in first.groupBy("search_date").count().collect()]
+    assert len(lines) == sum(n**2 for n in per_search)
     assert {json.loads(x)["route_type"] for x in lines} == {"1-transfer"}
 
+    root = str(tmp_path / "wide")
+    schema = replace_path(wide, root, jobs.SEGMENT_PARTITIONS).schema
+    report = jobs.report_itineraries(
+        spark, root, schema, "2022-04-01", dt.date(2022, 5, 1), "sfo", "PHL"
+    )
+    assert report.columns == list(REPORT_HEADINGS.values()) and report.count() > 0
+    filters = report._jdf.queryExecution().executedPlan().toString()
+    filters = filters.split("PartitionFilters: [")[1].split("]")[0]
+    assert "search_date" in filters and "(flig" in filters
+    none = jobs.report_itineraries(
+        spark, str(tmp_path / "gone"), schema, "2022-04-01", "2022-05-01", "SFO", "PHL"
+    )
+    assert none.count() == 0
+
     training = jobs.build_training_table(spark, "fact_flight_ticket", "dim_date", "training")
     assert training.where("is_best_time_to_buy = 1").count() > 0
     jobs.build_price_rules(spark, "fact_flight_ticket", "rules")
@@ -70,3 +88,30 @@ def test_path_job_touches_only_its_partitions(spark, dynamic_overwrite):
     assert [tuple(r) for r in rows.collect()] == [
         (None, "d1"), ("A -> B", "d1"), ("kept", "d2")
     ]
+
+
+def test_lookup_files_to_tables(spark, tmp_path):
+    (tmp_path / "a.csv").write_text(
+        "type,name,latitude_deg,longitude_deg,iso_country,iso_region,municipality\n"
+        'small,"two\nlines, ""quoted""",1.5,bad,NA,R,\n,,,,,,\n'
+    )
+    (tmp_path / "c.csv").write_text("code,name\nNA,Namibia\n,\n")
+    jobs.import_lookups(
+        spark, str(tmp_path / "a.csv"), str(tmp_path / "c.csv"), "airports", "countries"
+    )
+    assert [tuple(r) for r in spark.table("airports").collect()] == [
+        ("small", 'two\nlines, "quoted"', 1.5, None, "NA", "R", "")
+    ]
+    assert [tuple(r) for r in spark.table("countries").collect()] == [("NA", "Namibia")]
+
+
+def test_scratch_can_be_cleared(spark, monkeypatch):
+    from skyledger.sources import scratch
+
+    monkeypatch.setattr(scratch, "_roots", {})
+    root = scratch_root(spark)
+    path = root.removeprefix("file:")
+    materialize(spark.range(3), "three")
+    assert os.path.isdir(path)
+    clear_scratch(spark)
+    assert not os.path.isdir(path) and scratch_root(spark) != root

@@ -10,7 +10,7 @@ from workload.oracle import ORACLE
 from workload.queries import QUERIES
 
 SF_DIR = entry.SMOKE_DIR
-NO_ORACLE = {"q_train_score"}
+NO_ORACLE: set[str] = set()
 
 
 @pytest.fixture(scope="module")
@@ -18,7 +18,7 @@ def con():
     return duck(SF_DIR)
 
 
-def test_all_queries_but_the_model_have_an_oracle():
+def test_all_queries_have_an_oracle():
     assert set(QUERIES) - set(ORACLE) == NO_ORACLE
     assert set(ORACLE) <= set(QUERIES)
     assert set(QUERIES) <= set(entry.queries())
@@ -38,9 +38,3 @@ def test_query_equals_oracle(spark, con, name):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert [bad for bad in UNWANTED if bad in plan] == []
     assert difference(df, con, ORACLE[name]) is None
-
-
-def test_scores(spark):
-    df = entry.queries()["q_train_score"](spark, SF_DIR).cache()
-    assert df.count() % 36 == 0 and df.count() > 0
-    assert df.where("predicted_fare is null or recommendation not in (0, 1)").isEmpty()

@@ -212,6 +212,10 @@ def test_no_local_scratch_on_a_cluster(monkeypatch):
         applicationId = "some-cluster-app"
         master = "yarn"
 
+        @staticmethod
+        def getCheckpointDir():
+            return None
+
     class Session:
         sparkContext = Context()
 

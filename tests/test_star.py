@@ -15,8 +15,7 @@ from skyledger.operators.fact import (
 from skyledger.operators.keys import assert_unique, dense_key, natural_key
 from skyledger.operators.skew import (
     fits_broadcast,
-    hot_keys,
-    isolating_join,
+    listed_values,
     lookup_join,
     semi_join,
     which_fit_broadcast,
@@ -151,14 +150,6 @@ def skewed(spark):
     return left, right
 
 
-@pytest.mark.parametrize("how", ["left", "inner"])
-@pytest.mark.parametrize("hot_rows", [60, 900, 10_000])
-def test_isolating_join_equals_plain_join(spark, how, hot_rows):
-    left, right = skewed(spark)
-    plain = left.join(right, "k", how)
-    assert same_rows(plain, isolating_join(left, right, ["k"], how, hot_rows))
-
-
 @pytest.mark.parametrize("how", ["left", "inner"])
 def test_lookup_join_on_both_sides_of_the_bound(spark, how):
     left, right = skewed(spark)
@@ -167,17 +158,23 @@ def test_lookup_join_on_both_sides_of_the_bound(spark, how):
     assert same_rows(plain, lookup_join(left, right, ["k"], how))
 
 
-def test_isolating_join_hot_key_without_partner(spark):
+def test_joins_beyond_the_bound_read_each_side_once(spark, tmp_path):
     left, right = skewed(spark)
-    right = right.where("k <> 7")
-    plain = left.join(right, "k", "left")
-    assert same_rows(plain, isolating_join(left, right, ["k"], "left", 100))
+    left.write.parquet(f"{tmp_path}/left")
+    right.select("k").write.parquet(f"{tmp_path}/keys")
+    stored, keys = (spark.read.parquet(f"{tmp_path}/{t}") for t in ("left", "keys"))
+    joined = lookup_join(stored, right, ["k"], small=False)
+    kept = semi_join(stored, keys, small=False)
+    for df in (joined, kept):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("FileScan") == 2 and "TakeOrdered" not in plan
+    assert same_rows(left.join(right, "k", "left"), joined)
 
 
-def test_hot_keys(spark):
-    left, _ = skewed(spark)
-    assert [r.k for r in hot_keys(left, ["k"], 500).collect()] == [7]
-    assert hot_keys(left, ["k"], 0, max_keys=5).count() == 5
+def test_listed_values(spark):
+    df = spark.range(500).select((F.col("id") % 3).alias("few"), F.col("id").alias("many"))
+    found = listed_values(df)
+    assert sorted(found["few"]) == [0, 1, 2] and "many" not in found
 
 
 def test_semi_join_beyond_the_bound(spark):
@@ -197,6 +194,9 @@ def test_broadcast_bound(spark):
     assert fits_broadcast(texts)
     assert not fits_broadcast(texts, max_rows=99)
     assert not fits_broadcast(texts, max_bytes=50_000)
+    nested = texts.select(F.array("t", "t").alias("a"), F.struct("t").alias("s"))
+    assert not fits_broadcast(nested, max_bytes=250_000)
+    assert not fits_broadcast(texts.select(F.col("t").cast("binary")), max_bytes=50_000)
     assert which_fit_broadcast([texts, texts.limit(0)], max_rows=50) == [False, True]
 
 

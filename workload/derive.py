@@ -322,20 +322,24 @@ def itinerary_details(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def generated_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """query texts with and without words before SELECT."""
+    """query texts with and without words before SELECT, and all that was said."""
     k = F.col("o_orderkey")
     long = F.concat(
         F.lit("SQLQuery: select * from orders where o_orderkey = "),
         k.cast("string"),
         F.lit(" "),
     )
-    return given(spark, sf_dir, "orders").select(
+    made = given(spark, sf_dir, "orders").select(
         k.alias("id"),
         F.when(k % 3 == 0, long)
         .when(k % 3 == 1, "  Select 1")
         .otherwise(" no query here ")
         .alias("text"),
     )
+    said = given(spark, sf_dir, "conversations").select(
+        (-1 - F.col("conv_id") * 100_000 - F.col("turn")).alias("id"), "text"
+    )
+    return made.unionByName(said)
 
 
 DERIVED = {

@@ -6,7 +6,7 @@ in Spark is checked against data that never was packed.
 
 from __future__ import annotations
 
-from workload.queries import AS_OF, SCAN_DAY
+from workload.queries import AS_OF, SCAN_DAY, SEARCH_DAY
 
 _LINES = """
 lines AS (
@@ -173,7 +173,7 @@ star AS (
 
 _SEARCH = """
 found AS (
-  SELECT search_date, flight_date, leg_id, min(fare) AS fare,
+  SELECT search_date, flight_date, leg_id, min(fare) AS fare, min(base) AS base,
          any_value(origin) AS origin, any_value(destination) AS destination,
          bool_or(refundable) AS refundable,
          string_agg(dep, ' -> ' ORDER BY segment_index) || ' -> '
@@ -218,6 +218,11 @@ _TRIP = """route_type, origin, destination, flight_date, leg1, leg2, leg3, total
   total_duration"""
 
 
+# Requests for all routes that are flown on the first day of each month.
+_MONTHLY = """day(flight_date) = 1 AND year(flight_date) BETWEEN 1992 AND 1998
+  AND (origin, destination) IN (SELECT (dep, arr) FROM flights)"""
+
+
 def _trips(same_day: bool) -> str:
     same = ("AND a.day = b.day", "AND b.day = c.day") if same_day else ("", "")
     return (
@@ -363,7 +368,7 @@ SELECT DISTINCT leg_id, total_segments, CASE WHEN non_stop THEN '1' ELSE '0' END
 SELECT leg_id, dep AS departure_airport_code, arr AS arrival_airport_code,
   departs AS departure_epoch, arrives AS arrival_epoch,
   round(CAST(fare AS DOUBLE), 2) AS total_fare,
-  CAST(trunc(secs / 60.0) AS INTEGER) AS total_duration_in_minutes, flight_date FROM seg""",
+  CAST(trunc(secs / 60.0) AS INTEGER) AS total_duration_in_minutes, flight_date, search_date FROM seg""",
     "q_dim_airport": f"WITH {_AIRPORTS} SELECT * FROM airports",
     "q_dim_airline": f"""WITH {_SEG}
 SELECT airline_code, airline_name, row_number() OVER (ORDER BY code) AS airline_fk
@@ -381,6 +386,14 @@ SELECT basis AS fare_basis_code, cabins AS segments_cabin_code, basic AS is_basi
   refundable AS is_refundable, fk AS flight_details_fk FROM details""",
     "q_dim_date": f"""WITH {_SEG},{
         _dates("CASE WHEN k % 79 <> 0 THEN search_date END")}
+SELECT full_date, CAST(year(full_date) AS INTEGER) AS year,
+  CAST(month(full_date) AS INTEGER) AS month, CAST(day(full_date) AS INTEGER) AS day,
+  CAST(quarter(full_date) AS INTEGER) AS quarter,
+  CAST(dayofweek(full_date) + 1 AS INTEGER) AS day_of_week,
+  CAST(dayofyear(full_date) AS INTEGER) AS day_of_year,
+  CAST(weekofyear(full_date) AS INTEGER) AS week_of_year, fk AS date_fk FROM dates""",
+    "q_dim_date_ranges": f"""WITH {_SEG},{
+        _dates("CASE WHEN k % 79 <> 0 THEN search_date END")}
 SELECT full_date, CAST(year(full_date) AS INTEGER) AS year,
   CAST(month(full_date) AS INTEGER) AS month, CAST(day(full_date) AS INTEGER) AS day,
   CAST(quarter(full_date) AS INTEGER) AS quarter,
@@ -413,13 +426,20 @@ SELECT * FROM star WHERE make_date(year, month, day) = DATE '{SCAN_DAY}'""",
     "q_itinerary_packed": f"WITH {_SEG},{_SEARCH} SELECT {_FOUND_COLUMNS} FROM found",
     "q_itinerary_requests": f"""WITH {_SEG},{_SEARCH}
 SELECT {_FOUND_COLUMNS} FROM found WHERE (search_date, flight_date, origin, destination) IN
-  (SELECT (search_date, flight_date, origin, destination) FROM seg WHERE refundable)""",
+  (SELECT (search_date, flight_date, origin, destination) FROM seg)""",
+    "q_search_partition": f"""WITH {_SEG},{_SEARCH}
+SELECT {_FOUND_COLUMNS} FROM found WHERE search_date = DATE '{SEARCH_DAY}'""",
+    "q_itinerary_twice": f"""WITH {_SEG},{_SEARCH}
+SELECT {_FOUND_COLUMNS} FROM found
+UNION ALL SELECT {_FOUND_COLUMNS.replace("CAST(fare", "CAST(base")} FROM found""",
     "q_cheapest20": f"""WITH {_SEG},{_SEARCH}
 SELECT {_FOUND_COLUMNS} FROM found
 ORDER BY fare, search_date, flight_date, leg_id LIMIT 20""",
     "q_one_transfer": f"""WITH {_trips(False)}
-SELECT {_TRIP.replace(" leg3,", "")} FROM one""",
-    "q_two_transfer": f"WITH {_trips(False)} SELECT {_TRIP} FROM two",
+SELECT {_TRIP.replace(" leg3,", "")} FROM one WHERE {_MONTHLY}""",
+    "q_json_trips": f"""WITH {_trips(False)}
+SELECT {_TRIP.replace(" leg3,", "")} FROM one WHERE {_MONTHLY}""",
+    "q_two_transfer": f"WITH {_trips(False)} SELECT {_TRIP} FROM two WHERE {_MONTHLY}",
     "q_connections": f"""WITH {_trips(False)},
 asked AS (
   SELECT 'A' || lpad(CAST(a.n_nationkey AS VARCHAR), 2, '0') AS f,
@@ -514,6 +534,21 @@ WHERE {_hash_share("leg_id")} < 0.1""",
     "q_split": f"""WITH {_FLIGHTS}
 SELECT leg_id, CASE WHEN {_hash_share("leg_id")} < 0.8 THEN 'train' ELSE 'test' END AS part
 FROM flights""",
+    "q_train_score": f"""WITH {_FARES},{_FARE_FEATURES},
+routes AS (SELECT DISTINCT departure_airport_fk, arrival_airport_fk FROM features)
+SELECT departure_airport_fk, arrival_airport_fk,
+  CAST(DATE '{AS_OF}' + lead AS DATE) AS flight_date, true AS same_when_loaded,
+  true AS follows_rule, true AS error_bounded
+FROM routes, (SELECT CAST(unnest(range(1, 181, 5)) AS INTEGER) AS lead)""",
+    "q_lookup_csv": """
+SELECT c_mktsegment AS type,
+  CASE WHEN c_custkey % 5 = 0 THEN 'a "b"' || chr(10) || c_name ELSE c_name END AS name,
+  CASE WHEN c_custkey % 7 <> 0 THEN CAST(c_acctbal AS DOUBLE) END AS latitude_deg,
+  CASE WHEN c_custkey % 11 <> 0 THEN CAST(c_custkey AS DOUBLE) END AS longitude_deg,
+  CASE WHEN c_custkey % 3 = 0 THEN 'NA' ELSE 'DE' END AS iso_country,
+  'R, 1' AS iso_region,
+  CASE WHEN c_custkey % 2 = 0 THEN 'City ' || c_nationkey ELSE '' END AS municipality
+FROM customer""",
     "q_extract_select": """
 SELECT id, trim(substr(text, greatest(strpos(upper(text), 'SELECT'), 1))) AS query
 FROM (
@@ -521,5 +556,7 @@ FROM (
     WHEN 0 THEN 'SQLQuery: select * from orders where o_orderkey = ' || o_orderkey || ' '
     WHEN 1 THEN '  Select 1' ELSE ' no query here ' END AS text
   FROM orders
+  UNION ALL
+  SELECT -1 - conv_id * 100000 - turn, text FROM conversations
 )""",
 }

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.ml.functions import vector_to_array
+import datetime as dt
+import uuid
+
 from pyspark.ml import Pipeline
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,16 +15,19 @@ from skyledger.operators import dimensions as dims
 from skyledger.operators.fact import FACT_PARTITIONS, itinerary_fares, star_fact
 from skyledger.operators.features import best_time_label, fare_features, route_price_rule
 from skyledger.operators.itineraries import itinerary_search, packed_itineraries
+from skyledger.operators.keys import dense_key
 from skyledger.operators.model import (
     CATEGORICAL,
     NUMERICAL,
     feature_stages,
+    load_model,
     sample_rows,
+    save_model,
     split_rows,
     train_fare_model,
 )
 from skyledger.operators.reports import rmse, stitched_share
-from skyledger.operators.scoring import future_dates, recommend, scenario_grid
+from skyledger.operators.scoring import ROUTE, future_dates, recommend, scenario_grid
 from skyledger.operators.segments import (
     explode_segments,
     flights_view,
@@ -31,13 +36,26 @@ from skyledger.operators.segments import (
     wide_flights,
 )
 from skyledger.operators.skew import lookup_join
+from skyledger.sources.lookup_files import (
+    AIRPORT_COLUMNS,
+    airports_table,
+    load_lookup_csv,
+)
 from skyledger.sources.scratch import materialize, scratch_root
-from skyledger.sources.tables import on_day, replace_path
+from skyledger.sources.tables import (
+    on_day,
+    read_partition,
+    replace_path,
+    write_json_lines,
+)
 from workload.derive import given, stored
 
 AS_OF = "2022-01-01"
 SCAN_DAY = "1998-06-15"
+SEARCH_DAY = "1995-03-07"
+FIRST_MONTH, LAST_MONTH = "1992-01-01", "1998-12-01"
 
+_dirty_features: dict[tuple[str, str], DataFrame] = {}
 _warehouses: dict[tuple[str, str, str], tuple[DataFrame, dims.Dimensions]] = {}
 
 
@@ -57,16 +75,13 @@ def _dimensions(spark: SparkSession, d: str, raw: str) -> dims.Dimensions:
 def _warehouse(
     spark: SparkSession, d: str, raw: str
 ) -> tuple[DataFrame, dims.Dimensions]:
-    """Ticket fact and dimensions of a raw table, stored once per application.
-
-    By month: at this size a day has too few rows for a folder of its own.
-    """
+    """Ticket fact and dimensions of a raw table, stored once per application."""
     key = (spark.sparkContext.applicationId, d, raw)
     if key not in _warehouses:
         built = _dimensions(spark, d, raw)
         fact = star_fact(stored(spark, d, raw), built)
         path = f"{scratch_root(spark)}/fact-{raw}-{len(_warehouses)}"
-        _warehouses[key] = (replace_path(fact, path, FACT_PARTITIONS[:2]), built)
+        _warehouses[key] = (replace_path(fact, path, FACT_PARTITIONS), built)
     return _warehouses[key]
 
 
@@ -109,7 +124,8 @@ def segment_facts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def wide(spark: SparkSession, d: str) -> DataFrame:
-    return _with_rounded_fares(wide_flights(stored(spark, d, "raw_itineraries")))
+    rows = wide_flights(stored(spark, d, "raw_itineraries")).drop("trip_key")
+    return _with_rounded_fares(rows)
 
 
 def serving(spark: SparkSession, d: str) -> DataFrame:
@@ -142,6 +158,13 @@ def dim_date(spark: SparkSession, d: str) -> DataFrame:
     return dims.dim_date(stored(spark, d, "dirty_itineraries"))
 
 
+def dim_date_ranges(spark: SparkSession, d: str) -> DataFrame:
+    """The same dates, keyed range by range as if they were too many for one task."""
+    members = dims.dim_date(stored(spark, d, "dirty_itineraries")).drop("date_fk")
+    members = materialize(members, "dates")
+    return dense_key(members, ["full_date"], "date_fk", single_task_rows=100)
+
+
 def star(spark: SparkSession, d: str) -> DataFrame:
     raw = stored(spark, d, "raw_itineraries")
     return _with_rounded_fares(star_fact(raw, _dimensions(spark, d, "raw_itineraries")))
@@ -169,10 +192,31 @@ def search(spark: SparkSession, d: str) -> DataFrame:
     return _with_rounded_fares(itinerary_search(wide_table))
 
 
+def search_partition(spark: SparkSession, d: str) -> DataFrame:
+    """One search date of the stored wide table, read through its folder.
+
+    Stored by search date alone: nearly every itinerary of the test tables has a
+    flight date of its own.
+    """
+    wide_table = wide_flights(stored(spark, d, "raw_itineraries"))
+    path = f"{scratch_root(spark)}/wide-{uuid.uuid4().hex[:8]}"
+    schema = replace_path(wide_table, path, ["search_date"]).schema
+    day = dt.date.fromisoformat(SEARCH_DAY)
+    rows = read_partition(spark, path, schema, search_date=day)
+    return _with_rounded_fares(itinerary_search(rows, search_date=SEARCH_DAY))
+
+
+def search_twice(spark: SparkSession, d: str) -> DataFrame:
+    """Every leg loaded a second time at another fare: both trips are found."""
+    raw = stored(spark, d, "raw_itineraries")
+    again = raw.withColumn("total_fare", F.col("base_fare"))
+    return _with_rounded_fares(itinerary_search(wide_flights(raw.unionAll(again))))
+
+
 def search_requests(spark: SparkSession, d: str) -> DataFrame:
-    """The searches made from refundable tickets, answered from the wide table."""
+    """All searches that were made, answered from the wide table."""
     raw = stored(spark, d, "raw_itineraries")
-    requests = raw.where("is_refundable = 'True'").select(
+    requests = raw.select(
         F.to_date("search_date").alias("search_date"),
         F.to_date("flight_date").alias("flight_date"),
         F.lower("starting_airport").alias("start"),
@@ -189,15 +233,43 @@ def cheapest(spark: SparkSession, d: str) -> DataFrame:
     return search(spark, d).limit(20)
 
 
+def _monthly_requests(flights: DataFrame) -> DataFrame:
+    """All routes that are flown, asked for the first day of each month."""
+    days = F.sequence(F.lit(FIRST_MONTH).cast("date"), F.lit(LAST_MONTH).cast("date"),
+                      F.expr("interval 1 month"))
+    return (
+        flights.select(
+            F.col("departure_airport_code").alias("origin"),
+            F.col("arrival_airport_code").alias("destination"),
+        )
+        .where("origin <> destination")
+        .distinct()
+        .select("*", F.explode(days).alias("flight_date"))
+    )
+
+
+def _one_transfer(spark: SparkSession, d: str) -> DataFrame:
+    flights = stored(spark, d, "flights")
+    requests = _monthly_requests(flights)
+    return conn.one_transfer(flights, requests, same_day=False).drop("leg3")
+
+
 def one_transfer(spark: SparkSession, d: str) -> DataFrame:
-    trips = conn.one_transfer(stored(spark, d, "flights"), same_day=False)
-    return _with_rounded_fares(trips.drop("leg3"))
+    return _with_rounded_fares(_one_transfer(spark, d))
+
+
+def json_trips(spark: SparkSession, d: str) -> DataFrame:
+    """Trips written as JSON lines and read back."""
+    trips = _one_transfer(spark, d)
+    path = f"{scratch_root(spark)}/trips-{uuid.uuid4().hex[:8]}"
+    write_json_lines(trips, path)
+    return _with_rounded_fares(spark.read.schema(trips.schema).json(path))
 
 
 def two_transfers(spark: SparkSession, d: str) -> DataFrame:
-    return _with_rounded_fares(
-        conn.two_transfers(stored(spark, d, "flights"), same_day=False)
-    )
+    flights = stored(spark, d, "flights")
+    requests = _monthly_requests(flights)
+    return _with_rounded_fares(conn.two_transfers(flights, requests, same_day=False))
 
 
 def _regional_requests(spark: SparkSession, d: str) -> DataFrame:
@@ -242,7 +314,8 @@ def features(spark: SparkSession, d: str) -> DataFrame:
 
 
 def label(spark: SparkSession, d: str) -> DataFrame:
-    return _with_rounded_fares(best_time_label(_features(spark, d)))
+    rows = materialize(_features(spark, d), "features")
+    return _with_rounded_fares(best_time_label(rows))
 
 
 def _route_fares(spark: SparkSession, d: str) -> DataFrame:
@@ -275,7 +348,7 @@ def scenarios(spark: SparkSession, d: str) -> DataFrame:
 
 def recommendations(spark: SparkSession, d: str) -> DataFrame:
     """A stand-in price that grows with the lead time, against the route rules."""
-    rules = route_price_rule(_route_fares(spark, d))
+    rules = materialize(route_price_rule(_route_fares(spark, d)), "rules")
     grid = scenario_grid(rules, AS_OF, carry=["best_buy_threshold"])
     price = F.col("best_buy_threshold") * (950 + F.col("search_to_flight_days")) / 1000
     priced = grid.withColumn("prediction", price).drop("best_buy_threshold")
@@ -291,7 +364,9 @@ def fare_error(spark: SparkSession, d: str) -> DataFrame:
     """Error of the mean fare of a route as a prediction, per origin."""
     fares = _route_fares(spark, d)
     route = ["departure_airport_fk", "arrival_airport_fk"]
-    means = fares.groupBy(*route).agg(F.avg("total_fare").alias("mean_fare"))
+    means = materialize(
+        fares.groupBy(*route).agg(F.avg("total_fare").alias("mean_fare")), "means"
+    )
     return (
         lookup_join(fares, means, route, "inner")
         .groupBy("departure_airport_fk")
@@ -299,36 +374,49 @@ def fare_error(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def _prepared(spark: SparkSession, d: str) -> DataFrame:
-    rows = materialize(_features(spark, d, "dirty_itineraries"), "dirty-features")
-    return Pipeline(stages=feature_stages()).fit(rows).transform(rows)
+def _prepared(spark: SparkSession, d: str, stages: slice) -> DataFrame:
+    """The features of the faulty rows, stored once, after some stages of the model."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _dirty_features:
+        rows = _features(spark, d, "dirty_itineraries")
+        _dirty_features[key] = materialize(rows, "dirty-features")
+    rows = _dirty_features[key]
+    return Pipeline(stages=feature_stages()[stages]).fit(rows).transform(rows)
 
 
 def impute_mean(spark: SparkSession, d: str) -> DataFrame:
-    return _prepared(spark, d).select(
+    return _prepared(spark, d, slice(0, 1)).select(
         "leg_id", *NUMERICAL, *[f"{c}_imputed" for c in NUMERICAL]
     )
 
 
 def index_categories(spark: SparkSession, d: str) -> DataFrame:
-    return _prepared(spark, d).select(
+    return _prepared(spark, d, slice(1, 2)).select(
         "leg_id", *[c for c in CATEGORICAL], *[f"{c}_index" for c in CATEGORICAL]
     )
 
 
 def feature_vectors(spark: SparkSession, d: str) -> DataFrame:
     """Length of each feature vector and the places and values that are not 0."""
-    values = vector_to_array("features")
-    places = F.transform(
+    rows = _prepared(spark, d, slice(None)).select(
+        "leg_id", F.unwrap_udt("features").alias("v")
+    )
+    values = F.col("v.values")
+    dense = F.col("v.type") == 1
+    places = F.when(dense, F.sequence(F.lit(0), F.size(values) - 1)).otherwise(
+        F.col("v.indices")
+    )
+    entries = F.zip_with(
+        places,
         values,
-        lambda v, i: F.when(
+        lambda i, v: F.when(
             v != 0, F.concat_ws(":", i.cast("string"), v.cast("int").cast("string"))
         ),
     )
-    return _prepared(spark, d).select(
+    return rows.select(
         "leg_id",
-        F.size(values).alias("size"),
-        F.array_join(places, " ").alias("entries"),
+        F.when(dense, F.size(values)).otherwise(F.col("v.size")).alias("size"),
+        F.array_join(entries, " ").alias("entries"),
     )
 
 
@@ -347,11 +435,63 @@ def split(spark: SparkSession, d: str) -> DataFrame:
 
 
 def train_score(spark: SparkSession, d: str) -> DataFrame:
-    """Fit the model on the labelled fares, then score all routes of the rules."""
-    rows = _features(spark, d)
-    model = train_fare_model(rows, fraction=0.1).model
-    rules = route_price_rule(rows)
-    return recommend(model.transform(scenario_grid(rules, AS_OF)), rules)
+    """Fit the model on the labelled fares, score all routes, and check what is fixed.
+
+    Prices have no SQL form. That each is there and decides its recommendation, that
+    the model read from disk gives the same ones, and that its error on the test rows
+    is below twice the spread of all fares (they are drawn at random), has one.
+    """
+    rows = materialize(_features(spark, d), "features")
+    trained = train_fare_model(rows, fraction=0.1)
+    path = f"{scratch_root(spark)}/model-{uuid.uuid4().hex[:8]}"
+    save_model(trained.model, path)
+    rules = materialize(route_price_rule(rows), "rules")
+    grid = scenario_grid(rules, AS_OF, carry=["best_buy_threshold"])
+    priced = trained.model.transform(grid)
+    again = load_model(path).transform(
+        priced.select(*grid.columns, F.col("prediction").alias("_first"))
+    )
+    spread = rows.agg(F.stddev_pop("total_fare")).first()[0]
+    checked = again.select(
+        *ROUTE,
+        F.col("date").alias("flight_date"),
+        F.abs(F.col("_first") - F.col("prediction")).alias("_off"),
+    )
+    scored = recommend(priced)
+    buy = F.round("predicted_fare", 2) <= F.col("best_buy_threshold")
+    return (
+        scored.join(materialize(checked, "scored-again"), [*ROUTE, "flight_date"])
+        .join(F.broadcast(rules), list(ROUTE))
+        .select(
+            *ROUTE,
+            "flight_date",
+            (F.col("_off") < 1e-9).alias("same_when_loaded"),
+            (
+                (buy == (F.col("recommendation") == 1))
+                | (F.abs(F.col("predicted_fare") - F.col("best_buy_threshold")) < 0.01)
+            ).alias("follows_rule"),
+            F.lit(bool(trained.rmse < 2 * spread)).alias("error_bounded"),
+        )
+    )
+
+
+def lookup_csv(spark: SparkSession, d: str) -> DataFrame:
+    """Customers written as an airport file, with faults, then loaded and cleaned."""
+    k = F.col("c_custkey")
+    rows = given(spark, d, "customer").select(
+        "c_mktsegment",
+        F.when(k % 5 == 0, F.concat(F.lit('a "b"\n'), "c_name")).otherwise(F.col("c_name")),
+        F.when(k % 7 == 0, F.lit("bad")).otherwise(F.col("c_acctbal").cast("string")),
+        F.when(k % 11 != 0, k.cast("string")),
+        F.when(k % 3 == 0, F.lit("NA")).otherwise(F.lit("DE")),
+        F.lit("R, 1"),
+        F.when(k % 2 == 0, F.concat(F.lit("City "), F.col("c_nationkey").cast("string"))),
+        F.lit("not wanted"),
+    )
+    path = f"{scratch_root(spark)}/airports-{uuid.uuid4().hex[:8]}"
+    named = rows.toDF(*AIRPORT_COLUMNS, "extra")
+    named.write.option("header", True).option("escape", '"').csv(path)
+    return airports_table(load_lookup_csv(spark, path, AIRPORT_COLUMNS))
 
 
 def selects(spark: SparkSession, d: str) -> DataFrame:
@@ -372,15 +512,19 @@ QUERIES = {
     "q_dim_aircraft": dim_aircraft,
     "q_dim_flight_details": dim_flight_details,
     "q_dim_date": dim_date,
+    "q_dim_date_ranges": dim_date_ranges,
     "q_star_fact": star,
     "q_lookup_normalized": lookup_normalized,
     "q_itinerary_fares": fares_per_itinerary,
     "q_partition_scan": partition_scan,
     "q_itinerary_search": search,
     "q_itinerary_requests": search_requests,
+    "q_search_partition": search_partition,
+    "q_itinerary_twice": search_twice,
     "q_itinerary_packed": search_packed,
     "q_cheapest20": cheapest,
     "q_one_transfer": one_transfer,
+    "q_json_trips": json_trips,
     "q_two_transfer": two_transfers,
     "q_connections": connections,
     "q_connections_same_day": connections_same_day,
@@ -399,5 +543,6 @@ QUERIES = {
     "q_sample": sample,
     "q_split": split,
     "q_train_score": train_score,
+    "q_lookup_csv": lookup_csv,
     "q_extract_select": selects,
 }
