@@ -130,7 +130,62 @@ SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
 FROM g
 """
 
+def _secrets_sql() -> str:
+    """Spans by cutting at marks as well, but one row per part and a window sum."""
+    cuts = []
+    for i, (kind, pattern, group, least) in enumerate(secrets.PATTERNS):
+        quoted = pattern.replace("'", "''")
+        back = group.replace("$", "\\")
+        bare = kind == "secret" and group == "$0"
+        cuts.append(
+            f"""SELECT r, {i} AS p, {secrets.KINDS.index(kind)} AS k, {least} AS least,
+  {bare} AS bare, string_split(regexp_replace(replace(text, chr(1), chr(2)), '{quoted}',
+    chr(1) || '\\0' || chr(1) || '{back}' || chr(1), 'g'), chr(1)) AS parts FROM d"""
+        )
+    names = " ".join(f"WHEN {i} THEN '{k}'" for i, k in enumerate(secrets.KINDS))
+    roles = " ".join(f"WHEN {i} THEN '{secrets.PART[k]}'" for i, k in enumerate(secrets.KINDS))
+    pairs = ", ".join(f"('{a}', '{b}')" for a, bs in secrets.COMPLETES.items() for b in bs)
+    counts = ", ".join(
+        f"count(*) FILTER (WHERE k = {i}) AS n_{kind}" for i, kind in enumerate(secrets.BASE)
+    )
+    listed = "string_agg(name || ':' || a || ':' || b, ',' ORDER BY a, k, b)"
+    return f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents
+), m AS ({" UNION ALL ".join(cuts)}
+), u AS (
+  SELECT r, p, k, least, bare, unnest(parts) AS part, generate_subscripts(parts, 1) AS i
+  FROM m WHERE len(parts) > 1
+), q AS (
+  SELECT *, lead(part) OVER w AS value,
+         sum(CASE WHEN i % 3 = 0 THEN 0 ELSE length(part) END) OVER w AS b
+  FROM u WINDOW w AS (PARTITION BY r, p ORDER BY i)
+), s AS (
+  SELECT DISTINCT r, k, CASE k {names} END AS name, CASE k {roles} END AS role,
+         CAST(b - length(part) AS BIGINT) AS a, CAST(b AS BIGINT) AS b
+  FROM q
+  WHERE i % 3 = 2 AND length(value) >= least
+    AND (NOT bare OR (length(part) = least AND regexp_matches(part, '[0-9]')
+         AND regexp_matches(part, '[a-z]') AND regexp_matches(part, '[A-Z]')))
+), c AS (SELECT * FROM (VALUES {pairs}) AS t(of_role, needs)
+), kept AS (
+  SELECT * FROM s WHERE k < {len(secrets.BASE)}
+     OR EXISTS (SELECT 1 FROM s o JOIN c ON c.needs = o.role
+                WHERE o.r = s.r AND c.of_role = s.role
+                  AND o.a <= s.b + {secrets.SCOPE} AND o.b >= s.a - {secrets.SCOPE})
+), g AS (
+  SELECT r, {counts},
+         {listed} FILTER (WHERE k < {len(secrets.BASE)}) AS base, {listed} AS spans
+  FROM kept GROUP BY r
+)
+SELECT doc_id, {", ".join(f"coalesce(n_{k}, 0) AS n_{k}" for k in secrets.BASE)},
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN g ON g.r = d.r
+"""
+
+
 ORACLE: dict[str, str] = {
     "op2_line_dedup": OP2_SQL,
+    "op6_secrets": _secrets_sql(),
     "op8_warc": OP8_SQL,
 }

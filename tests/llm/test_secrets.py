@@ -3,9 +3,12 @@ from __future__ import annotations
 import re
 from hashlib import sha256
 
+import duckdb
 import pytest
 
+from skyledger.llm import queries
 from skyledger.llm import secrets as s
+from tests.compare import difference, duck
 
 D = "/root/testdata/sf0.01"
 ASSIGN = re.compile(
@@ -132,3 +135,17 @@ def test_no_python(spark):
     docs = spark.createDataFrame([(1, "user=a pwd=abcdef")], "doc_id long, text string")
     plan = s.find_secrets(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "NestedLoop" not in plan
+
+
+def test_query_equals_oracle(spark):
+    df = queries.op6_secrets(spark, D)
+    assert difference(df, duck(D), queries.ORACLE["op6_secrets"]) is None
+
+
+def test_oracle_on_edge_rows():
+    con = duckdb.connect()
+    rows = list(enumerate(TEXTS * 2))
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    got = con.execute(queries.ORACLE["op6_secrets"]).fetchall()
+    assert sorted(got) == sorted(digest(*r) for r in rows)
