@@ -75,13 +75,19 @@ def _dimensions(spark: SparkSession, d: str, raw: str) -> dims.Dimensions:
 def _warehouse(
     spark: SparkSession, d: str, raw: str
 ) -> tuple[DataFrame, dims.Dimensions]:
-    """Ticket fact and dimensions of a raw table, stored once per application."""
+    """Ticket fact and dimensions of a raw table, stored once per application.
+
+    By day where days are asked for; training features are read as a whole.
+    """
     key = (spark.sparkContext.applicationId, d, raw)
     if key not in _warehouses:
         built = _dimensions(spark, d, raw)
         fact = star_fact(stored(spark, d, raw), built)
-        path = f"{scratch_root(spark)}/fact-{raw}-{len(_warehouses)}"
-        _warehouses[key] = (replace_path(fact, path, FACT_PARTITIONS), built)
+        if raw == "raw_itineraries":
+            path = f"{scratch_root(spark)}/fact-{raw}-{len(_warehouses)}"
+            _warehouses[key] = (replace_path(fact, path, FACT_PARTITIONS), built)
+        else:
+            _warehouses[key] = (materialize(fact, f"fact-{raw}"), built)
     return _warehouses[key]
 
 
@@ -461,7 +467,7 @@ def train_score(spark: SparkSession, d: str) -> DataFrame:
     buy = F.round("predicted_fare", 2) <= F.col("best_buy_threshold")
     return (
         scored.join(materialize(checked, "scored-again"), [*ROUTE, "flight_date"])
-        .join(F.broadcast(rules), list(ROUTE))
+        .join(rules, list(ROUTE))
         .select(
             *ROUTE,
             "flight_date",
