@@ -312,10 +312,16 @@ def near_duplicates(
         "classes",
     )
     links = find_links(stored, classes, percent)
-    labelled = classes.join(components(links), "node", "left").withColumn(
-        "component", F.coalesce("component", "node")
+    # Stored, as both sides of the joins on a component, so that a hot one is split.
+    labelled = materialize(
+        classes.join(components(links), "node", "left").withColumn(
+            "component", F.coalesce("component", "node")
+        ),
+        "labelled-sets",
+    )
+    least = materialize(
+        labelled.groupBy("component").agg(F.min("_least").alias("component_id")), "least-ids"
     )
-    least = labelled.groupBy("component").agg(F.min("_least").alias("component_id"))
     by_set = labelled.join(least, "component").select("_c1", "_c2", "component", "component_id")
     rows = materialize(
         stored.select("_row", "doc_id", "_n", "_c1", "_c2")
@@ -332,10 +338,11 @@ def near_duplicates(
         .withColumn("kept", F.col("_id").eqNullSafe(F.col("component_id"))),
         "components",
     )
-    firsts = (
+    firsts = materialize(
         rows.where("kept and component is not null")
         .groupBy("component")
-        .agg(F.min("_row").alias("_first"))
+        .agg(F.min("_row").alias("_first")),
+        "first-rows",
     )
     marked = rows.join(firsts, "component", "left").select(
         "_row",
