@@ -31,11 +31,14 @@ def scratch_root(spark: SparkSession) -> str:
     return _roots[app]
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` below the scratch folder and read it back."""
+def materialize(df: DataFrame, label: str, compression: str | None = None) -> DataFrame:
+    """Write ``df`` below the scratch folder and read it back.
+
+    ``compression`` names a codec other than the session's, such as zstd for texts.
+    """
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex[:8]}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 
