@@ -24,7 +24,7 @@ none; other columns are ignored.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable
 
 import numpy as np
 import public_tokenizers
@@ -115,6 +115,7 @@ class Encoder:
         self.key_ids = np.array([v.ids[p] for p in names], dtype=np.int64)[order]
         self.score = np.array([v.rank.get(p, -1e9) for p in v.pieces])
         self._words: dict[str, bytes] = {}
+        self._older: dict[str, bytes] = {}
         self._pairs: dict[int, bool] = {}
 
     def _prefixes(self, codes: np.ndarray) -> np.ndarray:
@@ -131,21 +132,20 @@ class Encoder:
     def _allowed(self, before: np.ndarray, after: np.ndarray) -> np.ndarray:
         """Whether merging leaves each pair of pieces as it is."""
         keys, where = np.unique((before << 32) | after, return_inverse=True)
+        keys = keys.tolist()
         known, pieces, v = self._pairs, self.vocabulary.pieces, self.vocabulary
-        out = np.empty(len(keys), dtype=bool)
-        for i, key in enumerate(keys.tolist()):
-            ok = known.get(key)
-            if ok is None:
-                a, b = pieces[key >> 32], pieces[key & 0xFFFFFFFF]
-                ok = v.merged(a + b, len(a)) == [a, b]
-                if len(known) > REMEMBERED_PAIRS:
-                    known.clear()
-                known[key] = ok
-            out[i] = ok
-        return out[where]
-
-    def _viterbi(self, words: list[str]) -> Iterator[list[tuple[int, int]]]:
-        """Pieces of words of one length and where they end; ``_FREE`` for none."""
+        if len(known) > REMEMBERED_PAIRS:
+            known.clear()
+        for key in set(keys).difference(known):
+            a, b = pieces[key >> 32], pieces[key & 0xFFFFFFFF]
+            known[key] = v.merged(a + b, len(a)) == [a, b]
+        return np.array([known[key] for key in keys], dtype=bool)[where]
+
+    def _viterbi(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Pieces of words of one length, one word after another, ``_FREE`` for none.
+
+        Also where each piece ends, and the number of pieces of each word.
+        """
         v, n, size = self.vocabulary, len(words), len(words[0])
         prefix = self._prefixes(_codes(words))
         found = []
@@ -177,41 +177,56 @@ class Encoder:
             back[:, end] = widths[best]
         if not np.isfinite(total[:, size]).all():
             raise ValueError("a word has no encoding")
-        for i in range(n):
-            ids, end = [], size
-            while end:
-                ids.append((last[i, end], end))
-                end -= back[i, end]
-            yield ids[::-1]
+        cut = np.zeros((n, size + 1), dtype=bool)
+        row, end = np.arange(n), np.full(n, size)
+        while len(row):
+            cut[row, end] = True
+            end = end - back[row, end]
+            row, end = row[end > 0], end[end > 0]
+        return last[cut], np.nonzero(cut)[1], cut.sum(axis=1)
 
     def _learn(self, words: Iterable[str]) -> None:
         """Encode distinct words, those of a length together."""
-        v = self.vocabulary
         by_length: dict[int, list[str]] = {}
         for w in words:
             by_length.setdefault(len(w), []).append(w)
-        n_pieces = len(v.pieces) - len(v.loose)
         for group in by_length.values():
             for at in range(0, len(group), TOGETHER):
-                part = group[at : at + TOGETHER]
-                for word, path in zip(part, self._viterbi(part)):
-                    ids = []
-                    for piece, end in path:
-                        if 0 <= piece < n_pieces:
-                            ids.append(piece)
-                        else:
-                            ids += [v.bytes[b] for b in word[end - 1].encode()]
-                    self._words[word] = np.array(ids, dtype="<u4").tobytes()
+                self._learn_together(group[at : at + TOGETHER])
+
+    def _learn_together(self, words: list[str]) -> None:
+        v = self.vocabulary
+        pieces, ends, counts = self._viterbi(words)
+        stops = np.cumsum(counts)
+        plain = (pieces >= 0) & (pieces < len(v.pieces) - len(v.loose))
+        data = np.where(plain, pieces, 0).astype("<u4").tobytes()
+        whole = np.logical_and.reduceat(plain, stops - counts).tolist()
+        for word, stop, count, good in zip(words, stops.tolist(), counts.tolist(), whole):
+            start = stop - count
+            if good:
+                self._words[word] = data[4 * start : 4 * stop]
+                continue
+            ids = []
+            for i in range(start, stop):
+                if plain[i]:
+                    ids.append(pieces[i])
+                else:
+                    ids += [v.bytes[b] for b in word[ends[i] - 1].encode()]
+            self._words[word] = np.array(ids, dtype="<u4").tobytes()
 
     def encode(self, documents: list[str]) -> list[np.ndarray]:
         """The ids of each text."""
         cut = [
             WORD.findall(SPACE + d.replace(" ", SPACE)) if d else [] for d in documents
         ]
-        if len(self._words) > REMEMBERED_WORDS:
-            self._words.clear()
-        self._learn(set().union(*cut).difference(self._words))
-        known = self._words
+        if len(self._words) > REMEMBERED_WORDS // 2:
+            # Words that come again move on from the older half, the others go.
+            self._older, self._words = self._words, {}
+        known, older = self._words, self._older
+        missing = set().union(*cut).difference(known)
+        again = missing.intersection(older)
+        known.update((w, older[w]) for w in again)
+        self._learn(missing - again)
         return [np.frombuffer(b"".join([known[w] for w in c]), "<u4") for c in cut]
 
 

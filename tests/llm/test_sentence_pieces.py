@@ -70,8 +70,9 @@ def test_one_path_is_left(vocabulary):
             and all(vocabulary.merged(a + b) == [a, b] for a, b in zip(c, c[1:]))
         ]
         assert len(good) == 1
-        (path,) = encoder._viterbi([word])
-        assert [vocabulary.pieces[i] for i, _ in path] == good[0] == vocabulary.merged(word)
+        path, ends, counts = encoder._viterbi([word])
+        assert [vocabulary.pieces[i] for i in path] == good[0] == vocabulary.merged(word)
+        assert counts.tolist() == [len(good[0])] and ends[-1] == len(word)
 
 
 def test_forgetting_changes_nothing(sp, vocabulary, monkeypatch):
