@@ -31,6 +31,7 @@ from skyledger.sources.scratch import materialize
 K = 20
 SHARD_NODES = 8192
 BLOCK_QUERIES = 2048
+TASKS_PER_SHARD = 4
 QUERY_EVERY = 20
 
 INDEX = (
@@ -106,7 +107,12 @@ def build_index(vectors: DataFrame, k: int = K) -> DataFrame:
             [pa.array(c, f.type) for c, f in zip(row, schema)], schema=schema
         )
 
-    built = dealt.select("dim", "shard", "embedding", "ids").groupBy("dim", "shard")
+    # A shard is few bytes and much work: a stated number of partitions is not merged.
+    total = shards.agg(F.sum("shards")).first()[0] or 1
+    spread = dealt.select("dim", "shard", "embedding", "ids").repartition(
+        TASKS_PER_SHARD * total, "dim", "shard"
+    )
+    built = spread.groupBy("dim", "shard")
     return materialize(built.applyInArrow(build, INDEX), "ann-index")
 
 
