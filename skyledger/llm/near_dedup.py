@@ -304,7 +304,9 @@ def near_duplicates(
     docs = without(docs, *results)
     keep = docs.columns if keep is None else keep
     read = list(dict.fromkeys([*keep, "doc_id", "text"]))
-    stored = materialize(sketched(docs.select(*[f"`{c}`" for c in read])), "sketches")
+    stored = materialize(
+        sketched(docs.select(*[f"`{c}`" for c in read])), "sketches", compression="zstd"
+    )
     classes = materialize(
         stored.where("_n > 0")
         .groupBy("_c1", "_c2")
