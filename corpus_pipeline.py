@@ -19,8 +19,11 @@ def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines on more than a tenth of a source's documents go; no document does."""
-    kept = line_dedup.drop_boilerplate(docs).select(*docs.columns)
+    """Lines on more than a tenth of a source's documents go; no document does.
+
+    Copies count once: of a group of them the next stage keeps one, with its text.
+    """
+    kept = line_dedup.drop_boilerplate(docs, copies=False).select(*docs.columns)
     return kept.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), "n_chars"))
 
 

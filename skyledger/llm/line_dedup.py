@@ -14,8 +14,10 @@ by host and splits a hot one. Texts are not shuffled in the first case.
 
 Cases: a null text stays null, an empty one empty; a page may lose all its lines and
 keeps an empty text. Pages without a host form a host of their own. Repeated rows are
-pages each. A column of the table named like a result (``n_lines``, ``n_dropped``) is
-replaced, all others are kept; an empty table gives no rows.
+pages each; with ``copies=False`` the rows of a host with equal texts are one page, both
+for its lines and in the total, so that a group of copies is not taken for boilerplate.
+A column of the table named like a result (``n_lines``, ``n_dropped``) is replaced, all
+others are kept; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -48,16 +50,23 @@ def boilerplate(
     text: str = "text",
     ratio: float = RATIO,
     min_pages: int = MIN_PAGES,
+    copies: bool = True,
 ) -> DataFrame:
     """``_host`` and ``_dropped``, the keys of the lines that exceed the ratio."""
     hosted = pages.select(F.col(host).alias("_host"), F.col(text).alias("_text"))
     own = F.filter(
         F.transform(F.split("_text", "\n"), _stripped), lambda x: x != F.lit("")
     )
-    lines = hosted.select("_host", F.explode(F.array_distinct(own)).alias("_line"))
+    if not copies:
+        hosted = hosted.withColumn("_page", _key(F.col("_text")))
+    page = [c for c in hosted.columns if c != "_text"]
+    lines = hosted.select(*page, F.explode(F.array_distinct(own)).alias("_line"))
+    keys = lines.select(*page, _key(F.col("_line")).alias("_key"))
+    if not copies:
+        # Within a task first, so a group of copies is a page of each task in the shuffle.
+        keys, hosted = keys.distinct(), hosted.select(*page).distinct()
     counted = (
-        lines.select("_host", _key(F.col("_line")).alias("_key"))
-        .groupBy("_host", F.col("_key.a").alias("a"), F.col("_key.b").alias("b"))
+        keys.groupBy("_host", F.col("_key.a").alias("a"), F.col("_key.b").alias("b"))
         .agg(F.count("*").alias("_n"))
         .where(F.col("_n") >= min_pages)
     )
@@ -76,13 +85,15 @@ def drop_boilerplate(
     text: str = "text",
     ratio: float = RATIO,
     min_pages: int = MIN_PAGES,
+    copies: bool = True,
 ) -> DataFrame:
     """The pages without their host's boilerplate, ``n_lines`` and ``n_dropped``.
 
     ``n_lines`` counts the lines before, blank ones not.
     """
     pages = without(pages, "n_lines", "n_dropped")
-    dropped = materialize(boilerplate(pages, host, text, ratio, min_pages), "boilerplate")
+    found = boilerplate(pages, host, text, ratio, min_pages, copies)
+    dropped = materialize(found, "boilerplate")
     dropped = dropped.withColumnRenamed("_host", "_of")
     joined = pages.join(dropped, F.col(host).eqNullSafe(F.col("_of")), "left")
     lines = F.split(F.col(text), "\n")

@@ -65,3 +65,17 @@ def test_shuffled_by_host(spark):
         assert difference(df, duck(D), queries.ORACLE["op2_line_dedup"]) is None
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_copies_are_one_page(spark):
+    """A third of all rows are copies, of a host's only text and beside other texts."""
+    rows = [(i, "hot", "the text\nof all copies") for i in range(20)]
+    rows += [(20 + i, "mixed", "menu\nthe text\nof some copies") for i in range(10)]
+    rows += [(30 + i, "mixed", f"menu\nown text {i}") for i in range(20)]
+    rows += [(50 + i, f"h{i}", None if i % 2 else "") for i in range(40)]
+    pages = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    got = {r.doc_id: r.text for r in line_dedup.drop_boilerplate(pages, copies=False).collect()}
+    assert {i: got[i] for i in range(20)} == {i: t for i, _, t in rows[:20]}
+    assert {got[i] for i in range(20, 30)} == {"the text\nof some copies"}
+    assert [got[30 + i] for i in range(20)] == [f"own text {i}" for i in range(20)]
+    assert [got[50 + i] for i in range(40)] == ["", None] * 20

@@ -81,6 +81,17 @@ def test_odd_tables(spark, tmp_path):
         assert bool(pieces) == (odd is table)
 
 
+def test_a_group_of_copies_keeps_one_text(spark):
+    text = "first line of the copies\nand their second line"
+    rows = [(i, text, "en", "a", len(text)) for i in range(20)]
+    rows += [(20 + i, f"text {i} of its own\nw{i} x{i} y{i} z{i}", "en", "a", 0) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    lined = corpus_pipeline.dedup_lines(spark, docs, D)
+    left = corpus_pipeline.dedup_near(spark, lined, D).collect()
+    assert [r.text for r in left if r.doc_id < 20] == [text]
+    assert sum(r.doc_id >= 20 for r in left) == 40
+
+
 def test_registered():
     names = entry.queries()
     for n in range(1, 11):
