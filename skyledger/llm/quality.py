@@ -10,8 +10,9 @@ words); language, source and id play no part.
 Training fits the weights by gradient ascent on a sample of labelled documents, whose
 lines take the label of their document. The sample is bounded: ``TRAIN_DOCS`` labelled
 documents, chosen by a hash of their id, half of them of each label where there are as
-many, and of those the ones with at most ``TRAIN_LINES`` lines. Only line features of
-this sample reach the driver. Scoring is one narrow pass over whole texts.
+many, and of those the ones with at most ``TRAIN_LINES`` lines. Rows that repeat an id
+are one document of it, the one with the least text. Only line features of this sample
+reach the driver. Scoring is one narrow pass over whole texts.
 
 Cases: a null or empty text is a document of one empty line. Documents labelled in
 two ways teach nothing. Without labels all scores are 0.5. Repeated rows get a row each,
@@ -258,7 +259,9 @@ def train(docs: DataFrame, labels: DataFrame, max_docs: int = TRAIN_DOCS) -> Crf
     sample = docs.select(F.col("doc_id").cast("long").alias("_id"), "text").join(
         F.broadcast(chosen), "_id"
     )
-    source = sample.select("text", F.col("quality").cast("int"))
+    # A row for each id, combined within a task first.
+    one = sample.groupBy("_id", "quality").agg(F.min("text").alias("text"))
+    source = one.select("text", F.col("quality").cast("int"))
     rows = (
         map_slices(source, make, "quality int, bins binary, lengths binary")
         .where("bins is not null")

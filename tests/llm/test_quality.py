@@ -119,6 +119,17 @@ def test_held_out_labels_teach_nothing(spark, tables):
     assert (a.weights == b.weights).all() and (a.pairs == b.pairs).all()
 
 
+def test_repeated_rows_teach_once(spark, tables):
+    docs, labels = tables
+    few = labels.where("quality in (0, 1)").where(~q.held_out()).orderBy("doc_id").limit(20)
+    often = few.select("doc_id").orderBy("doc_id").limit(1)
+    chosen = docs.join(few.select("doc_id"), "doc_id")
+    again = chosen.join(often, "doc_id").join(spark.range(30).select(), how="cross")
+    once, many = q.train(chosen, few), q.train(chosen.unionByName(again), few)
+    assert np.array_equal(once.weights, many.weights)
+    assert np.array_equal(once.pairs, many.pairs)
+
+
 def test_edge_rows(spark):
     long = "A very long line of words. " * 20_000
     rows = [(1, None, 9.0), (1, None, 9.0), (2, "", 9.0), (None, long, 9.0), (4, "\n\n\n", 9.0)]
