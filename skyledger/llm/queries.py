@@ -10,6 +10,7 @@ from skyledger.llm import (
     fingerprints,
     html_text,
     line_dedup,
+    manifest,
     near_dedup,
     neighbours,
     packing,
@@ -71,6 +72,10 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.verify_tampered(_read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_line_dedup": op2_line_dedup,
@@ -82,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_neighbours": op9_neighbours,
     "op10_near_dedup": op10_near_dedup,
+    "op12_manifest": op12_manifest,
 }
 
 OP2_SQL = """
@@ -184,8 +190,83 @@ FROM d LEFT JOIN g ON g.r = d.r
 """
 
 
+def _manifest_sql(levels: int = 9, top_levels: int = 4) -> str:
+    """Level by level from the leaves: as many levels as stated, the rest of them idle."""
+
+    def framed(value: str) -> str:
+        text = f"CAST({value} AS VARCHAR)"
+        return f"CASE WHEN {value} IS NULL THEN '-' ELSE strlen({text}) || ':' || {text} END"
+
+    def tree(name: str, key: str, count: int) -> str:
+        """Nodes ``name``_k and their siblings ``name``_s_k of trees by a key (or one tree)."""
+        out = []
+        same = f"PARTITION BY {key}" if key else ""
+        run = f"PARTITION BY {key}, i // 8" if key else "PARTITION BY i // 8"
+        keys = f"{key}, " if key else ""
+        for k in range(count):
+            out.append(
+                f"""{name}_s_{k} AS (SELECT {keys}i, h, count(*) OVER ({same}) AS c,
+    coalesce(string_agg(h, '') OVER ({run} ORDER BY i
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS before,
+    coalesce(string_agg(h, '') OVER ({run} ORDER BY i
+      ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS after FROM {name}_{k})"""
+            )
+            out.append(
+                f"""{name}_{k + 1} AS (SELECT {keys}i // 8 AS i, CASE WHEN c > 1
+    THEN sha256(string_agg(h, '' ORDER BY i)) ELSE max(h) END AS h
+  FROM {name}_s_{k} GROUP BY {keys}i // 8, c)"""
+            )
+        return ",\n".join(out)
+
+    def climb(name: str, key: str, place: str, frm: str, to: str, count: int) -> str:
+        """Rows with the siblings at every level and the node folded with them."""
+        out = []
+        for k in range(count):
+            same = f"p.{key} IS NOT DISTINCT FROM s.{key} AND " if key else ""
+            out.append(
+                f"""{to}_{k + 1} AS (SELECT p.* EXCLUDE (proof, f),
+    CASE WHEN s.c > 1 THEN p.proof || s.before || s.after ELSE p.proof END AS proof,
+    CASE WHEN s.c > 1 THEN sha256(s.before || p.f || s.after) ELSE p.f END AS f
+  FROM {to + "_" + str(k) if k else frm} p
+  JOIN {name}_s_{k} s ON {same}p.{place} // {8**k} = s.i)"""
+            )
+        return ",\n".join(out)
+
+    crc = """xor(4294967295, list_reduce(
+    list_prepend(CAST(4294967295 AS BIGINT),
+      list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), CAST(range(8) AS BIGINT[])),
+      lambda a, i: xor(a >> 1, 3988292384 * (a & 1)))))"""
+    lowered = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    start = " || ".join(framed(c) for c in manifest.FIELDS[:-1])
+    return f"""
+WITH d AS (
+  SELECT doc_id, lang, sha256({start} || {framed("text")}) AS leaf,
+         CASE WHEN {crc} % {manifest.TAMPERED_EVERY} = 0
+              THEN sha256({start} || {framed(lowered)}) END AS copy
+  FROM documents
+), l AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i,
+         '' AS proof, coalesce(copy, leaf) AS f
+  FROM d
+), g_0 AS (SELECT lang, i, leaf AS h FROM l),
+{tree("g", "lang", levels)},
+r AS (SELECT lang, h AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS place
+      FROM g_{levels}),
+t_0 AS (SELECT place AS i, subroot AS h FROM r),
+{tree("t", "", top_levels)},
+{climb("g", "lang", "i", "l", "p", levels)},
+q AS (SELECT p.*, r.subroot, r.place FROM p_{levels} p JOIN r ON p.lang IS NOT DISTINCT FROM r.lang),
+{climb("t", "", "place", "q", "u", top_levels)}
+SELECT doc_id, leaf, subroot, z.h AS root, sha256(proof) AS proof_sha256, f AS folded_root,
+       f = z.h AS verified
+FROM u_{top_levels}, t_{top_levels} z
+"""
+
+
 ORACLE: dict[str, str] = {
     "op2_line_dedup": OP2_SQL,
     "op6_secrets": _secrets_sql(),
     "op8_warc": OP8_SQL,
+    "op12_manifest": _manifest_sql(),
 }
