@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from skyledger.llm import (
     fingerprints,
+    hard_negatives,
     html_text,
     line_dedup,
     manifest,
@@ -72,6 +73,10 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(_read(spark, sf_dir, "embeddings"))
+
+
 def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.verify_tampered(_read(spark, sf_dir, "documents"))
 
@@ -87,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_neighbours": op9_neighbours,
     "op10_near_dedup": op10_near_dedup,
+    "op11_hard_negatives": op11_hard_negatives,
     "op12_manifest": op12_manifest,
 }
 
@@ -190,6 +196,32 @@ FROM d LEFT JOIN g ON g.r = d.r
 """
 
 
+OP11_SQL = """
+WITH r AS (
+  SELECT DISTINCT vec_id, CAST(CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS INTEGER) AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), a AS (SELECT * FROM r WHERE vec_id % 50 = 0
+), s AS (
+  SELECT a.vec_id AS anchor_id, a.label AS l, a.v AS u, r.vec_id, r.label, r.v,
+         CAST(list_inner_product(a.v, r.v) AS BIGINT) AS score
+  FROM a JOIN r ON len(a.v) = len(r.v) AND (a.vec_id, a.label, a.v) <> (r.vec_id, r.label, r.v)
+), p AS (
+  SELECT anchor_id, l, u, vec_id AS positive_id, score AS positive_score FROM s WHERE l = label
+  QUALIFY row_number() OVER (PARTITION BY anchor_id, l, u ORDER BY score DESC, vec_id) <= 5
+)
+SELECT p.anchor_id, p.positive_id, p.positive_score, s.vec_id AS negative_id,
+       s.score AS negative_score,
+       CAST(row_number() OVER (PARTITION BY p.anchor_id, p.l, p.u, p.positive_id, p.positive_score
+         ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND s.l = p.l AND s.u = p.u AND s.label <> p.l
+  AND 100 * s.score BETWEEN 50 * p.positive_score AND 95 * p.positive_score
+QUALIFY rank <= 3
+"""
+
+
 def _manifest_sql(levels: int = 9, top_levels: int = 4) -> str:
     """Level by level from the leaves: as many levels as stated, the rest of them idle."""
 
@@ -268,5 +300,6 @@ ORACLE: dict[str, str] = {
     "op2_line_dedup": OP2_SQL,
     "op6_secrets": _secrets_sql(),
     "op8_warc": OP8_SQL,
+    "op11_hard_negatives": OP11_SQL,
     "op12_manifest": _manifest_sql(),
 }
