@@ -18,6 +18,7 @@ from skyledger.llm import (
     quality,
     secrets,
     sentence_pieces,
+    suffix_tree,
     warc,
 )
 
@@ -81,6 +82,10 @@ def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.verify_tampered(_read(spark, sf_dir, "documents"))
 
 
+def op13_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_tree.score(_read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_line_dedup": op2_line_dedup,
@@ -94,6 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_near_dedup": op10_near_dedup,
     "op11_hard_negatives": op11_hard_negatives,
     "op12_manifest": op12_manifest,
+    "op13_suffix_tree": op13_suffix_tree,
 }
 
 OP2_SQL = """
