@@ -70,6 +70,17 @@ def test_all_documents(spark, tokenizer):
     assert got == want
 
 
+@pytest.mark.parametrize("white", [" ", "\n", "\t", " \n"])
+def test_long_white_space(spark, tokenizer, white):
+    """Two million white-space characters in a row, also inside a text."""
+    long = white * (2_000_000 // len(white))
+    for text in (long, f"before{long}after") if white == " " else (f"before{long}after",):
+        rows = sorted(packing.pack(table(spark, [text, "next"])).collect(), key=lambda r: r.start)
+        ids = np.concatenate([np.frombuffer(r.ids, "<u4") for r in rows if r.doc_id == 0])
+        assert ids.tolist() == tokenizer.encode(text, add_special_tokens=False).ids + [0]
+        assert sum(r.doc_id == 1 for r in rows) == 1
+
+
 def test_repeated_rows_and_no_rows(spark):
     docs = table(spark, ["twice"]).union(table(spark, ["twice"]))
     rows = packing.pack(docs).collect()
