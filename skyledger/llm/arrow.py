@@ -46,13 +46,14 @@ def map_slices(
     make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch | None]],
     schema: T.StructType | str,
     column: str = "text",
+    rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """Apply a function to slices. ``make`` runs once per task and gives the function."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         apply = make()
         for batch in batches:
-            for part in slices(batch, column):
+            for part in slices(batch, column, rows):
                 out = apply(part)
                 if out is not None and out.num_rows:
                     yield out

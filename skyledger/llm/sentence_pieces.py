@@ -1,20 +1,25 @@
 """SentencePiece encoding and decoding with a batched numpy Viterbi.
 
-A text is cut before its spaces, where no piece can cross. Distinct words of equal
-length advance together: rolling hashes of all their substrings probe the sorted keys
-of the pieces, and at each position the vectorised maximum over the pieces that end
-there is kept with a backpointer.
+A text is cut before its spaces, and longer stretches without a space between any two
+characters that no piece holds side by side: no piece crosses there. Distinct words of
+equal length advance together: rolling hashes of all their substrings probe the sorted
+keys of the pieces, a hit is confirmed by a second hash, and at each position the
+vectorised maximum over the pieces that end there is kept with a backpointer. A word of
+more than ``ALONE`` characters rarely has another of its length; it advances on its own
+by the same steps.
 
 The vocabulary file is a BPE model, whose encoding is not the best sum of scores but
 what merging the best-scored pair again and again gives. That encoding is the one
 path whose neighbouring pieces are each what merging gives for the two of them
 together: a merge across the border of two pieces would depend on nothing else. So a
-step of the Viterbi from one piece to the next is allowed only if that holds, checked
-once per pair of pieces and remembered; one path is left for every prefix, and ids are
-those of the ``sentencepiece`` library (tests compare both on whole tables).
+step of the Viterbi from one piece to the next is allowed only if that holds; one path
+is left for every prefix, and ids are those of the ``sentencepiece`` library (tests
+compare both on whole tables). Whether it holds is found for many pairs at once, by
+undoing the later of the two pieces' last merges until a merge across the border would
+have come first, and kept in a table of fixed size.
 
 Characters that are no piece become their UTF-8 bytes. The pass is narrow; each worker
-remembers a bounded number of words and pairs.
+remembers words of a bounded number of characters.
 
 Cases: a null or empty text has no ids and decodes to an empty text. A literal U+2581
 decodes to a space, as in the library. Repeated rows give a row each, an empty table
@@ -38,11 +43,17 @@ from skyledger.llm.arrow import map_slices, texts
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
 WORD = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
-REMEMBERED_WORDS = 500_000
-REMEMBERED_PAIRS = 2_000_000
-#: Words that advance together.
+#: Characters of the words that a worker remembers, about.
+REMEMBERED = 6_000_000
+#: Places for pairs of pieces; a power of two.
+PAIRS = 1 << 21
+#: Words that advance together, at most, and texts whose words are learnt together.
 TOGETHER = 4096
+TEXTS_TOGETHER = 2048
+#: Stretches beyond this are cut where no piece crosses; words beyond it go alone.
+ALONE = 96
 _BASE = np.uint64(0x9E3779B97F4A7C15)
+_SECOND = np.uint64(0xC2B2AE3D27D4EB4F)
 _FREE = -2  # a character of no piece: nothing merges with it
 
 
@@ -62,9 +73,29 @@ class Vocabulary:
         if any(not re.fullmatch(f"{SPACE}*[^{SPACE}]*", p) for p in self.rank):
             raise ValueError("a piece holds a space after another character")
         self.longest = max(map(len, self.ids), default=1)
-        self.valid = np.array(
-            [p in self.ids and self.merged(p) == [p] for p in self.pieces], dtype=bool
-        )
+        whole = [self.merged(p) == [p] if p in self.ids else False for p in self.pieces]
+        self.valid = np.array(whole, dtype=bool)
+        # Runs of spaces may have one score; among other merges the order is strict.
+        self.opens = np.array([p.startswith(SPACE) for p in self.pieces])
+        self.closes = np.array([p.endswith(SPACE) for p in self.pieces])
+        runs = {x for p, x in self.rank.items() if not p.strip(SPACE)}
+        made = [x for p, x in self.rank.items() if len(p) > 1 and p.strip(SPACE)]
+        if len(set(made) - runs) < len(made):
+            raise ValueError("two merges have one score")
+        self._undo()
+        pairs = {c for p in self.ids for c in zip(p, p[1:])}
+        self.inside = np.array(sorted((ord(a) << 32) | ord(b) for a, b in pairs), dtype=np.int64)
+
+    def _undo(self) -> None:
+        """When each whole piece is made, single characters first, and of which two."""
+        order = sorted(self.rank, key=self.rank.get, reverse=True)
+        self.made = np.full(len(self.pieces), -1, dtype=np.int64)
+        self.left, self.right = (np.arange(len(self.pieces)) for _ in range(2))
+        for i, p in enumerate(order):
+            at = self.ids[p]
+            if len(p) > 1 and self.valid[at]:
+                a, b = self.merged(p, last=True)
+                self.made[at], self.left[at], self.right[at] = i, self.ids[a], self.ids[b]
 
     @classmethod
     def load(cls, path: str) -> Vocabulary:
@@ -84,10 +115,10 @@ class Vocabulary:
                 raise ValueError("the model encodes in a way that is not supported")
         return found
 
-    def merged(self, text: str, border: int = -1) -> list[str] | None:
-        """What merging gives; None as soon as a merge crosses the border."""
-        rank, parts, at = self.rank, list(text), list(range(len(text)))
-        while len(parts) > 1:
+    def merged(self, text: str, last: bool = False) -> list[str]:
+        """What merging gives; with ``last``, the parts before the last merge."""
+        rank, parts = self.rank, list(text)
+        while len(parts) > 1 + last:
             best, place = None, -1
             for i in range(len(parts) - 1):
                 score = rank.get(parts[i] + parts[i + 1])
@@ -95,51 +126,134 @@ class Vocabulary:
                     best, place = score, i
             if place < 0:
                 break
-            if at[place + 1] == border:
-                return None
             parts[place : place + 2] = [parts[place] + parts[place + 1]]
-            del at[place + 1]
         return parts
 
 
 class Encoder:
     def __init__(self, vocabulary: Vocabulary):
         v = self.vocabulary = vocabulary
-        self._powers = np.array(
-            [pow(int(_BASE), i, 1 << 64) for i in range(v.longest + 1)], dtype=np.uint64
+        self._powers, self._second_powers = (
+            np.array([pow(int(b), i, 1 << 64) for i in range(v.longest + 1)], dtype=np.uint64)
+            for b in (_BASE, _SECOND)
         )
-        names = sorted(v.ids)
-        keys = np.concatenate([self._prefixes(_codes([p]))[:, -1] for p in names])
-        order = np.argsort(keys)
-        self.keys = keys[order]
-        self.key_ids = np.array([v.ids[p] for p in names], dtype=np.int64)[order]
+        # The hash of every piece, and per length the sorted keys with both hashes and ids.
+        self.hash = np.zeros(len(v.pieces), dtype=np.uint64)
+        self.length = np.array([len(p) for p in v.pieces], dtype=np.int64)
+        self.by_length = {}
+        for width in range(1, v.longest + 1):
+            names = [p for p in v.ids if len(p) == width]
+            if names:
+                codes, ids = _codes(names), np.array([v.ids[p] for p in names], dtype=np.int64)
+                keys = _prefixes(codes, _BASE)[:, -1]
+                self.hash[ids] = keys
+                order = np.argsort(keys)
+                second = _prefixes(codes, _SECOND)[:, -1]
+                self.by_length[width] = keys[order], second[order], ids[order]
+        everything = [np.concatenate(x) for x in zip(*self.by_length.values())]
+        order = np.argsort(everything[0])
+        self.keys, self.key_ids = everything[0][order], everything[2][order]
         self.score = np.array([v.rank.get(p, -1e9) for p in v.pieces])
         self._words: dict[str, bytes] = {}
         self._older: dict[str, bytes] = {}
-        self._pairs: dict[int, bool] = {}
-
-    def _prefixes(self, codes: np.ndarray) -> np.ndarray:
-        """Hashes of the first 0, 1, 2, ... characters of each row."""
-        out = np.zeros((len(codes), codes.shape[1] + 1), dtype=np.uint64)
-        for i in range(codes.shape[1]):
-            out[:, i + 1] = out[:, i] * _BASE + codes[:, i]
+        self._held = 0
+        self._pair_keys = np.full(PAIRS, -1, dtype=np.int64)
+        self._pair_allowed = np.zeros(PAIRS, dtype=bool)
+
+    def _found(self, prefix: np.ndarray, second: np.ndarray, width: int) -> np.ndarray:
+        """The piece that each substring of a length is, or -1."""
+        shape = len(prefix), prefix.shape[1] - width
+        if width not in self.by_length:
+            return np.full(shape, -1, dtype=np.int64)
+        keys, seconds, ids = self.by_length[width]
+        hashes = prefix[:, width:] - prefix[:, :-width] * self._powers[width]
+        at = np.minimum(np.searchsorted(keys, hashes), len(keys) - 1)
+        row, col = np.nonzero(keys[at] == hashes)
+        again = second[row, col + width] - second[row, col] * self._second_powers[width]
+        sure = seconds[at[row, col]] == again
+        out = np.full(shape, -1, dtype=np.int64)
+        row, col = row[sure], col[sure]
+        out[row, col] = ids[at[row, col]]
         return out
 
-    def _windows(self, prefix: np.ndarray, size: int) -> np.ndarray:
-        """Hashes of all substrings of a length."""
-        return prefix[:, size:] - prefix[:, : prefix.shape[1] - size] * self._powers[size]
-
     def _allowed(self, before: np.ndarray, after: np.ndarray) -> np.ndarray:
         """Whether merging leaves each pair of pieces as it is."""
-        keys, where = np.unique((before << 32) | after, return_inverse=True)
-        keys = keys.tolist()
-        known, pieces, v = self._pairs, self.vocabulary.pieces, self.vocabulary
-        if len(known) > REMEMBERED_PAIRS:
-            known.clear()
-        for key in set(keys).difference(known):
-            a, b = pieces[key >> 32], pieces[key & 0xFFFFFFFF]
-            known[key] = v.merged(a + b, len(a)) == [a, b]
-        return np.array([known[key] for key in keys], dtype=bool)[where]
+        keys = (before << 32) | after
+        mixed = keys.astype(np.uint64) * _BASE
+        place = (mixed >> np.uint64(32)).astype(np.int64) & (PAIRS - 1)
+        out = self._pair_allowed[place]
+        missing = np.flatnonzero(self._pair_keys[place] != keys)
+        if len(missing):
+            new, where = np.unique(keys[missing], return_inverse=True)
+            found = self._decided(new >> 32, new & 0xFFFFFFFF)
+            out[missing] = found[where]
+            self._pair_keys[place[missing]] = keys[missing]
+            # Two keys may claim one place; the one that holds it must be its own.
+            held = self._pair_keys[place[missing]] == keys[missing]
+            self._pair_allowed[place[missing[held]]] = out[missing[held]]
+        return out
+
+    def _decided(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """``_allowed`` of pairs that are not in the table."""
+        v, out = self.vocabulary, np.zeros(len(a), dtype=bool)
+        spaces = v.closes[a] & v.opens[b]
+        for i in np.flatnonzero(spaces).tolist():
+            one, other = v.pieces[a[i]], v.pieces[b[i]]
+            out[i] = v.merged(one + other) == [one, other]
+        at = np.flatnonzero(v.valid[a] & v.valid[b] & ~spaces)
+        a, b = a[at], b[at]
+        limit = np.full(len(at), np.iinfo(np.int64).max)
+        while len(at):
+            size = self.length[b]
+            both = self.hash[a] * self._powers[np.minimum(size, v.longest)] + self.hash[b]
+            key = np.minimum(np.searchsorted(self.keys, both), len(self.keys) - 1)
+            across = self.key_ids[key]
+            hit = (self.keys[key] == both) & (self.length[across] == self.length[a] + size)
+            hit &= v.made[across] >= 0
+            open_ = ~(hit & (v.made[across] < limit))
+            undo_left = v.made[a] > v.made[b]
+            done = open_ & (v.made[a] < 0) & (v.made[b] < 0)
+            out[at[done]] = True
+            # Of equal merges the one on the left comes first.
+            limit = np.where(undo_left, v.made[a], v.made[b] + 1)
+            a, b = np.where(undo_left, v.right[a], a), np.where(undo_left, b, v.left[b])
+            go = open_ & ~done
+            at, a, b, limit = at[go], a[go], b[go], limit[go]
+        return out
+
+    def _alone(self, word: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``_viterbi`` of one long word: the one path that is left for each prefix."""
+        v, ids, n = self.vocabulary, self.vocabulary.ids, len(word)
+        valid, allowed = v.valid, {}
+        last, back = [_FREE] * (n + 1), [0] * (n + 1)
+        for end in range(1, n + 1):
+            for width in range(min(v.longest, end), 0, -1):
+                piece = ids.get(word[end - width : end], _FREE if width == 1 else -1)
+                if piece == -1:
+                    continue
+                before = last[end - width]
+                if width == end:
+                    good = piece == _FREE or valid[piece]
+                elif piece == _FREE or before == _FREE:
+                    good = True
+                else:
+                    good = allowed.get((before, piece))
+                    if good is None:
+                        good = bool(self._allowed(np.array([before]), np.array([piece]))[0])
+                        allowed[before, piece] = good
+                if good:
+                    last[end], back[end] = piece, width
+                    break
+            else:
+                raise ValueError("a word has no encoding")
+            if len(allowed) > PAIRS:
+                allowed.clear()
+        ends, end = [], n
+        while end:
+            ends.append(end)
+            end -= back[end]
+        ends = np.array(ends[::-1], dtype=np.int64)
+        return np.array(last, dtype=np.int64)[ends], ends, np.array([len(ends)])
 
     def _viterbi(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Pieces of words of one length, one word after another, ``_FREE`` for none.
@@ -147,12 +261,10 @@ class Encoder:
         Also where each piece ends, and the number of pieces of each word.
         """
         v, n, size = self.vocabulary, len(words), len(words[0])
-        prefix = self._prefixes(_codes(words))
-        found = []
-        for width in range(1, min(v.longest, size) + 1):
-            hashes = self._windows(prefix, width)
-            at = np.minimum(np.searchsorted(self.keys, hashes), len(self.keys) - 1)
-            found.append(np.where(self.keys[at] == hashes, self.key_ids[at], -1))
+        codes = _codes(words)
+        prefix, second = _prefixes(codes, _BASE), _prefixes(codes, _SECOND)
+        widths = range(1, min(v.longest, size) + 1)
+        found = [self._found(prefix, second, width) for width in widths]
         found[0] = np.where(found[0] < 0, _FREE, found[0])
 
         total = np.full((n, size + 1), -np.inf)
@@ -190,13 +302,15 @@ class Encoder:
         by_length: dict[int, list[str]] = {}
         for w in words:
             by_length.setdefault(len(w), []).append(w)
-        for group in by_length.values():
-            for at in range(0, len(group), TOGETHER):
-                self._learn_together(group[at : at + TOGETHER])
+        for size, group in by_length.items():
+            step = 1 if size > ALONE else TOGETHER
+            for at in range(0, len(group), step):
+                self._learn_together(group[at : at + step])
 
     def _learn_together(self, words: list[str]) -> None:
         v = self.vocabulary
-        pieces, ends, counts = self._viterbi(words)
+        alone = len(words) == 1 and len(words[0]) > ALONE
+        pieces, ends, counts = self._alone(words[0]) if alone else self._viterbi(words)
         stops = np.cumsum(counts)
         plain = (pieces >= 0) & (pieces < len(v.pieces) - len(v.loose))
         data = np.where(plain, pieces, 0).astype("<u4").tobytes()
@@ -214,22 +328,49 @@ class Encoder:
                     ids += [v.bytes[b] for b in word[ends[i] - 1].encode()]
             self._words[word] = np.array(ids, dtype="<u4").tobytes()
 
+    def _cut(self, text: str) -> list[str]:
+        """The words of a text, long ones in parts that no piece crosses."""
+        words = WORD.findall(SPACE + text.replace(" ", SPACE)) if text else []
+        if all(len(w) <= ALONE for w in words):
+            return words
+        out = []
+        for w in words:
+            if len(w) <= ALONE:
+                out.append(w)
+                continue
+            codes = np.frombuffer(w.encode("utf-32-le"), "<u4").astype(np.int64)
+            sides = (codes[:-1] << 32) | codes[1:]
+            at = np.minimum(
+                np.searchsorted(self.vocabulary.inside, sides), len(self.vocabulary.inside) - 1
+            )
+            cuts = np.flatnonzero(self.vocabulary.inside[at] != sides) + 1
+            cuts = [0, *cuts.tolist(), len(w)]
+            out += [w[a:b] for a, b in zip(cuts, cuts[1:])]
+        return out
+
     def encode(self, documents: list[str]) -> list[np.ndarray]:
         """The ids of each text."""
-        cut = [
-            WORD.findall(SPACE + d.replace(" ", SPACE)) if d else [] for d in documents
-        ]
-        if len(self._words) > REMEMBERED_WORDS // 2:
+        cut = [self._cut(d) for d in documents]
+        if self._held > REMEMBERED // 2:
             # Words that come again move on from the older half, the others go.
-            self._older, self._words = self._words, {}
+            self._older, self._words, self._held = self._words, {}, 0
         known, older = self._words, self._older
         missing = set().union(*cut).difference(known)
         again = missing.intersection(older)
         known.update((w, older[w]) for w in again)
+        self._held += sum(map(len, missing))
         self._learn(missing - again)
         return [np.frombuffer(b"".join([known[w] for w in c]), "<u4") for c in cut]
 
 
+def _prefixes(codes: np.ndarray, base: np.uint64) -> np.ndarray:
+    """Hashes of the first 0, 1, 2, ... characters of each row."""
+    out = np.zeros((len(codes), codes.shape[1] + 1), dtype=np.uint64)
+    for i in range(codes.shape[1]):
+        out[:, i + 1] = out[:, i] * base + codes[:, i]
+    return out
+
+
 def _codes(words: list[str]) -> np.ndarray:
     """Code points plus one of words of one length, a row each."""
     flat = np.frombuffer("".join(words).encode("utf-32-le"), "<u4")
@@ -290,7 +431,7 @@ def encode(docs: DataFrame, model: str | None = None) -> DataFrame:
         return apply
 
     source = docs.select(F.col("doc_id").cast("long"), "text")
-    return map_slices(source, make, "doc_id long, ids binary")
+    return map_slices(source, make, "doc_id long, ids binary", rows=TEXTS_TOGETHER)
 
 
 def decode(encoded: DataFrame, model: str | None = None) -> DataFrame:

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import time
 import zlib
 from hashlib import sha256
 
@@ -76,8 +77,8 @@ def test_one_path_is_left(vocabulary):
 
 
 def test_forgetting_changes_nothing(sp, vocabulary, monkeypatch):
-    monkeypatch.setattr(s, "REMEMBERED_WORDS", 1)
-    monkeypatch.setattr(s, "REMEMBERED_PAIRS", 1)
+    monkeypatch.setattr(s, "REMEMBERED", 1)
+    monkeypatch.setattr(s, "PAIRS", 2)
     monkeypatch.setattr(s, "TOGETHER", 2)
     encoder = s.Encoder(vocabulary)
     for _ in range(2):
@@ -85,6 +86,37 @@ def test_forgetting_changes_nothing(sp, vocabulary, monkeypatch):
             assert encoder.encode([text])[0].tolist() == sp.encode(text)
 
 
+def test_pairs_are_decided_as_by_merging(vocabulary):
+    encoder, rng = s.Encoder(vocabulary), random.Random(2)
+    ids = [i for p, i in vocabulary.ids.items() if len(p) < 9]
+    a, b = (np.array(rng.choices(ids, k=5000), dtype=np.int64) for _ in range(2))
+    near = [p for p in vocabulary.ids if len(p) > 1]
+    cut = [(p, rng.randint(1, len(p) - 1)) for p in rng.choices(near, k=5000)]
+    cut = [(vocabulary.ids.get(p[:i]), vocabulary.ids.get(p[i:])) for p, i in cut]
+    cut = np.array([c for c in cut if None not in c], dtype=np.int64)
+    a, b = np.concatenate([a, cut[:, 0], cut[:500, 0]]), np.concatenate([b, cut[:, 1], cut[:500, 0]])
+    pieces = vocabulary.pieces
+    want = [vocabulary.merged(pieces[x] + pieces[y]) == [pieces[x], pieces[y]] for x, y in zip(a, b)]
+    for _ in range(2):
+        assert encoder._allowed(a, b).tolist() == want
+    assert 100 < sum(want) < len(want) - 100
+
+
+@pytest.mark.parametrize(
+    "alphabet", ["abcdefghijklmnopqrstuvwxyz", "的一是不了人我在有他这中大来上国", "x", "ab", "0123456789abcdef="]
+)
+def test_a_million_characters_without_a_space(sp, vocabulary, alphabet):
+    rng = random.Random(4)
+    text = "".join(rng.choices(alphabet, k=1_000_000))
+    if len(alphabet) <= 2:
+        text = "odd " + alphabet * (1_000_000 // len(alphabet))
+    encoder = s.Encoder(vocabulary)
+    start = time.process_time()
+    ids = encoder.encode([text])[0]
+    assert time.process_time() - start < 20
+    assert ids.tolist() == sp.encode(text)
+
+
 def test_tables(spark, sp):
     docs = spark.createDataFrame(
         [(i % 9, t, b"x") for i, t in enumerate([*TEXTS, None, "twice", "twice"])],
