@@ -449,6 +449,12 @@ asked AS (
 )
 SELECT {_TRIP} FROM (SELECT * FROM one UNION ALL SELECT * FROM two)
 JOIN asked ON origin = f AND destination = t""",
+    "q_one_transfer_all": f"""WITH {_trips(False)}
+SELECT {_TRIP.replace(" leg3,", "")} FROM one
+WHERE (origin, destination) IN (SELECT (dep, arr) FROM flights)""",
+    "q_connections_all": f"""WITH {_trips(False)}
+SELECT {_TRIP} FROM (SELECT * FROM one UNION ALL SELECT * FROM two)
+WHERE (origin, destination, flight_date) IN (SELECT (dep, arr, day) FROM flights)""",
     "q_connections_same_day": f"""WITH {_trips(True)}
 SELECT {_TRIP} FROM (SELECT * FROM one UNION ALL SELECT * FROM two)
 WHERE (origin, destination, flight_date) IN (SELECT (dep, arr, day) FROM flights)""",

@@ -13,6 +13,7 @@ from skyledger.functions import clean_path, extract_select
 from skyledger.operators import connections as conn
 from skyledger.operators import dimensions as dims
 from skyledger.operators.fact import FACT_PARTITIONS, itinerary_fares, star_fact
+from skyledger.operators.flight_layout import FlightLayout, store_layout
 from skyledger.operators.features import best_time_label, fare_features, route_price_rule
 from skyledger.operators.itineraries import itinerary_search, packed_itineraries
 from skyledger.operators.keys import dense_key
@@ -298,15 +299,45 @@ def connections(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def connections_same_day(spark: SparkSession, d: str) -> DataFrame:
-    """Ways with a transfer to replace each direct flight, on its own day."""
-    flights = stored(spark, d, "flights")
-    requests = flights.select(
+_layouts: dict[tuple[str, str], FlightLayout] = {}
+
+
+def _layout(spark: SparkSession, d: str) -> FlightLayout:
+    """The flights stored for connection searches, once per application and folder."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _layouts:
+        name = f"flights_{uuid.uuid4().hex[:8]}"
+        path = f"{scratch_root(spark)}/{name}"
+        _layouts[key] = store_layout(stored(spark, d, "flights"), name, path=path)
+    return _layouts[key]
+
+
+def _flown(flights: DataFrame, *more: str) -> DataFrame:
+    return flights.select(
         F.col("departure_airport_code").alias("origin"),
         F.col("arrival_airport_code").alias("destination"),
-        "flight_date",
+        *more,
     )
-    return _with_rounded_fares(conn.connections(flights, requests))
+
+
+def one_transfer_everywhere(spark: SparkSession, d: str) -> DataFrame:
+    """Trips with one transfer on all flown routes, from the stored layout."""
+    layout, requests = _layout(spark, d), _flown(stored(spark, d, "flights"))
+    found = conn.one_transfer(layout, requests, same_day=False)
+    return _with_rounded_fares(found.drop("leg3"))
+
+
+def connections_everywhere(spark: SparkSession, d: str) -> DataFrame:
+    """Ways with a transfer on every flown route and day, from the stored layout."""
+    layout = _layout(spark, d)
+    requests = _flown(stored(spark, d, "flights"), "flight_date")
+    return _with_rounded_fares(conn.connections(layout, requests, same_day=False))
+
+
+def connections_same_day(spark: SparkSession, d: str) -> DataFrame:
+    """Ways with a transfer to replace each direct flight, on its own day."""
+    flights = stored(spark, d, "flights")
+    return _with_rounded_fares(conn.connections(flights, _flown(flights, "flight_date")))
 
 
 def paths(spark: SparkSession, d: str) -> DataFrame:
@@ -534,6 +565,8 @@ QUERIES = {
     "q_two_transfer": two_transfers,
     "q_connections": connections,
     "q_connections_same_day": connections_same_day,
+    "q_one_transfer_all": one_transfer_everywhere,
+    "q_connections_all": connections_everywhere,
     "q_clean_path": paths,
     "q_fare_features": features,
     "q_best_time_label": label,
