@@ -54,9 +54,13 @@ def scenario_grid(
     )
 
 
-def recommend(predictions: DataFrame, rules: DataFrame | None = None) -> DataFrame:
+def recommend(
+    predictions: DataFrame, rules: DataFrame | None = None, carry: Sequence[str] = ()
+) -> DataFrame:
     """Rounded price and whether it is at most the threshold of its route.
 
+    ``carry`` keeps more columns of ``predictions`` (or the threshold).
+
     Without ``rules`` the threshold is a column of ``predictions`` already. A route
     without a threshold gets 0. Two rules for one route are an error.
     """
@@ -71,4 +75,5 @@ def recommend(predictions: DataFrame, rules: DataFrame | None = None) -> DataFra
         *ROUTE,
         F.round("prediction", 2).alias("predicted_fare"),
         F.when(buy, 1).otherwise(0).alias("recommendation"),
+        *carry,
     )

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from skyledger.operators.features import best_time_label, fare_features, route_price_rule
 from skyledger.operators.model import (
+    as_expression,
+    fit_numeric_trees,
     feature_stages,
     hash_fraction,
     load_model,
@@ -14,6 +16,7 @@ from skyledger.operators.model import (
     save_model,
     split_rows,
     train_fare_model,
+    tree_table,
 )
 from skyledger.operators.reports import rmse, stitched_share
 from skyledger.operators.scoring import recommend, scenario_grid
@@ -222,3 +225,37 @@ def test_splits_are_disjoint_and_complete(spark, identity):
     assert same_rows(train.unionAll(test), df)
     assert train.join(test, "leg_id").isEmpty()
     assert 1500 < train.count() < 1700
+
+
+def test_exported_trees_equal_the_model(spark):
+    """Categories, numbers, missing and unseen values, as an expression of raw columns."""
+    rows = training(spark, 600)
+    trained = train_fare_model(rows, fraction=1.0, identity=["leg_id"], maxIter=4, maxDepth=4)
+    odd = rows.limit(40).withColumns(
+        {
+            "airline_fk": F.when(F.col("airline_fk") % 2 == 0, F.lit(99)),
+            "search_to_flight_days": F.lit(None).cast(rows.schema["search_to_flight_days"].dataType),
+        }
+    )
+    both = rows.unionByName(odd)
+    exported = as_expression(trained.model, both.schema)
+    off = trained.model.transform(both).select(F.abs(F.col("prediction") - exported).alias("off"))
+    assert off.agg(F.max("off")).first()[0] < 1e-9
+    assert off.where("off is null").isEmpty()
+    nodes = tree_table(trained.model, spark).collect()
+    assert {n.tree for n in nodes} == {0, 1, 2, 3}
+    inner = {(n.tree, n.node) for n in nodes if n.feature}
+    assert {(t, c) for t, n in inner for c in (2 * n, 2 * n + 1)} == {
+        (n.tree, n.node) for n in nodes if n.node > 1
+    }
+
+
+def test_a_tree_of_depth_one_splits_where_the_variance_falls_most(spark):
+    fares = [(1, 5, 10.0), (1, 6, 12.0), (2, 5, 11.0), (3, 5, 40.0), (3, 6, 44.0), (4, 6, 42.0)]
+    rows = spark.createDataFrame(fares, "a int, b int, total_fare double")
+    model = fit_numeric_trees(rows, ["a", "b"], maxIter=1, maxDepth=1)
+    nodes = {n.node: n for n in tree_table(model, spark).collect()}
+    assert (nodes[1].feature, nodes[1].threshold) == ("a", 2.5)
+    assert (nodes[2].value, nodes[3].value) == (11.0, 42.0)
+    prices = rows.select(as_expression(model, rows.schema).alias("p")).collect()
+    assert [r.p for r in prices] == [11.0, 11.0, 11.0, 42.0, 42.0, 42.0]

@@ -328,6 +328,35 @@ for _c in _CATEGORIES:
     _before += f" + ix_{_c}.labels"
 
 
+def _stump(names: tuple[str, ...]) -> str:
+    """The split of one column between two of its values that lowers the variance most."""
+    values = " UNION ALL ".join(
+        f"SELECT '{n}' AS feature, CAST({n} AS DOUBLE) AS v, CAST(total_fare AS DOUBLE) AS y FROM features"
+        for n in names
+    )
+    return f""",
+vals AS ({values}),
+grouped AS (SELECT feature, v, count(*) AS n, sum(y) AS s FROM vals GROUP BY feature, v),
+sides AS (
+  SELECT feature, (v + lead(v) OVER w) / 2 AS threshold, sum(n) OVER w AS ln, sum(s) OVER w AS ls,
+         sum(n) OVER (PARTITION BY feature) AS tn, sum(s) OVER (PARTITION BY feature) AS ts
+  FROM grouped WINDOW w AS (PARTITION BY feature ORDER BY v)
+),
+split AS (
+  SELECT feature, threshold, ls / ln AS left_mean, (ts - ls) / (tn - ln) AS right_mean, tn
+  FROM sides WHERE threshold IS NOT NULL
+  ORDER BY ls * ls / ln + (ts - ls) * (ts - ls) / (tn - ln) DESC LIMIT 1
+)"""
+
+
+def _stump_value(names: tuple[str, ...]) -> str:
+    return "CASE feature " + " ".join(f"WHEN '{n}' THEN {n}" for n in names) + " END"
+
+
+_STUMP = ("flight_day_of_week", "flight_month", "departure_airport_fk", "arrival_airport_fk")
+_STUMP_ALL = (*_STUMP, "airline_fk", "aircraft_fk")
+
+
 def _hash_share(column: str) -> str:
     return f"(('0x' || substr(md5('42|' || {column}), 1, 8))::BIGINT / 4294967296.0)"
 
@@ -546,6 +575,31 @@ SELECT departure_airport_fk, arrival_airport_fk,
   CAST(DATE '{AS_OF}' + lead AS DATE) AS flight_date, true AS same_when_loaded,
   true AS follows_rule, true AS error_bounded
 FROM routes, (SELECT CAST(unnest(range(1, 181, 5)) AS INTEGER) AS lead)""",
+    "q_stump": f"""WITH {_FARES},{_FARE_FEATURES}{_stump(_STUMP_ALL)}
+SELECT feature, threshold, round(left_mean, 4) AS left_mean, round(right_mean, 4) AS right_mean,
+  CAST(tn AS BIGINT) AS fares,
+  round(sqrt(avg((CAST(total_fare AS DOUBLE)
+    - CASE WHEN {_stump_value(_STUMP_ALL)} <= threshold THEN left_mean ELSE right_mean END) ** 2)), 4)
+    AS rmse
+FROM features, split GROUP BY feature, threshold, left_mean, right_mean, tn""",
+    "q_stump_score": f"""WITH {_FARES},{_FARE_FEATURES}{_stump(_STUMP)},
+rules AS (
+  SELECT departure_airport_fk, arrival_airport_fk,
+         CAST(1.05 AS DOUBLE) * min(CAST(total_fare AS DOUBLE)) AS best
+  FROM features GROUP BY ALL
+),
+grid AS (
+  SELECT *, CAST(DATE '{AS_OF}' + CAST(lead AS INTEGER) AS DATE) AS flight_date
+  FROM rules, (SELECT unnest(range(1, 181, 5)) AS lead)
+),
+priced AS (
+  SELECT *, CASE WHEN {_stump_value(_STUMP)} <= threshold THEN left_mean ELSE right_mean END AS price
+  FROM (SELECT *, dayofweek(flight_date) + 1 AS flight_day_of_week,
+               month(flight_date) AS flight_month FROM grid), split
+)
+SELECT flight_date, departure_airport_fk, arrival_airport_fk, round(price, 2) AS predicted_fare,
+  CASE WHEN price <= best THEN 1 ELSE 0 END AS recommendation
+FROM priced""",
     "q_lookup_csv": """
 SELECT c_mktsegment AS type,
   CASE WHEN c_custkey % 5 = 0 THEN 'a "b"' || chr(10) || c_name ELSE c_name END AS name,

@@ -20,12 +20,15 @@ from skyledger.operators.keys import dense_key
 from skyledger.operators.model import (
     CATEGORICAL,
     NUMERICAL,
+    as_expression,
     feature_stages,
+    fit_numeric_trees,
     load_model,
     sample_rows,
     save_model,
     split_rows,
     train_fare_model,
+    tree_table,
 )
 from skyledger.operators.reports import rmse, stitched_share
 from skyledger.operators.scoring import ROUTE, future_dates, recommend, scenario_grid
@@ -474,9 +477,11 @@ def split(spark: SparkSession, d: str) -> DataFrame:
 def train_score(spark: SparkSession, d: str) -> DataFrame:
     """Fit the model on the labelled fares, score all routes, and check what is fixed.
 
-    Prices have no SQL form. That each is there and decides its recommendation, that
-    the model read from disk gives the same ones, and that its error on the test rows
-    is below twice the spread of all fares (they are drawn at random), has one.
+    Prices have no SQL form. That each is there and decides its recommendation, that the
+    model read from disk and the one exported as an expression give the same ones, and
+    that the error on the test rows is that of the exported one and below twice the
+    spread of all fares (they are drawn at random), has one. ``q_stump`` and
+    ``q_stump_score`` hold a model that has a SQL form against it.
     """
     rows = materialize(_features(spark, d), "features")
     trained = train_fare_model(rows, fraction=0.1)
@@ -484,32 +489,63 @@ def train_score(spark: SparkSession, d: str) -> DataFrame:
     save_model(trained.model, path)
     rules = materialize(route_price_rule(rows), "rules")
     grid = scenario_grid(rules, AS_OF, carry=["best_buy_threshold"])
-    priced = trained.model.transform(grid)
-    again = load_model(path).transform(
-        priced.select(*grid.columns, F.col("prediction").alias("_first"))
-    )
+    exported = as_expression(trained.model, rows.schema)
+    priced = load_model(path).transform(grid.withColumn("_exported", exported))
+    off = F.abs(F.col("_exported") - F.col("prediction"))
     spread = rows.agg(F.stddev_pop("total_fare")).first()[0]
-    checked = again.select(
+    error = trained.predictions.agg(rmse(F.col("total_fare"), exported)).first()[0]
+    good = trained.rmse < 2 * spread and abs(error - trained.rmse) < 1e-6
+    buy = F.round("predicted_fare", 2) <= F.col("best_buy_threshold")
+    return recommend(
+        priced.withColumn("_off", off), carry=["best_buy_threshold", "_off"]
+    ).select(
         *ROUTE,
-        F.col("date").alias("flight_date"),
-        F.abs(F.col("_first") - F.col("prediction")).alias("_off"),
+        "flight_date",
+        (F.col("_off") < 1e-6).alias("same_when_loaded"),
+        (
+            (buy == (F.col("recommendation") == 1))
+            | (F.abs(F.col("predicted_fare") - F.col("best_buy_threshold")) < 0.01)
+        ).alias("follows_rule"),
+        F.lit(bool(good)).alias("error_bounded"),
     )
-    scored = recommend(priced)
-    buy = F.round("predicted_fare", 2) <= F.col("best_buy_threshold")
-    return (
-        scored.join(materialize(checked, "scored-again"), [*ROUTE, "flight_date"])
-        .join(rules, list(ROUTE))
-        .select(
-            *ROUTE,
-            "flight_date",
-            (F.col("_off") < 1e-9).alias("same_when_loaded"),
-            (
-                (buy == (F.col("recommendation") == 1))
-                | (F.abs(F.col("predicted_fare") - F.col("best_buy_threshold")) < 0.01)
-            ).alias("follows_rule"),
-            F.lit(bool(trained.rmse < 2 * spread)).alias("error_bounded"),
-        )
+
+
+# Columns with few different values, so that every split between two is tried.
+STUMP_FEATURES = (
+    "flight_day_of_week",
+    "flight_month",
+    "departure_airport_fk",
+    "arrival_airport_fk",
+)
+
+
+def stump(spark: SparkSession, d: str) -> DataFrame:
+    """One tree of depth 1 on the labelled fares: its split, its leaves and its error."""
+    names = [*STUMP_FEATURES, "airline_fk", "aircraft_fk"]
+    rows = materialize(_features(spark, d), "features")
+    model = fit_numeric_trees(rows, names, maxIter=1, maxDepth=1)
+    node = F.col("node")
+    tree = tree_table(model, spark).agg(
+        F.max_by("feature", node == 1).alias("feature"),
+        F.max_by("threshold", node == 1).alias("threshold"),
+        F.round(F.max_by("value", node == 2), 4).alias("left_mean"),
+        F.round(F.max_by("value", node == 3), 4).alias("right_mean"),
+    )
+    price = as_expression(model, rows.schema)
+    error = rows.agg(
+        F.count(F.lit(1)).alias("fares"),
+        F.round(rmse(F.col("total_fare").cast("double"), price), 4).alias("rmse"),
     )
+    return tree.join(error)
+
+
+def stump_score(spark: SparkSession, d: str) -> DataFrame:
+    """All scenarios priced by a tree of depth 1, as an expression, with recommendations."""
+    rows = materialize(_features(spark, d), "features")
+    model = fit_numeric_trees(rows, STUMP_FEATURES, maxIter=1, maxDepth=1)
+    rules = route_price_rule(rows)
+    grid = scenario_grid(rules, AS_OF, carry=["best_buy_threshold"])
+    return recommend(grid.withColumn("prediction", as_expression(model, grid.schema)))
 
 
 def lookup_csv(spark: SparkSession, d: str) -> DataFrame:
@@ -582,6 +618,8 @@ QUERIES = {
     "q_sample": sample,
     "q_split": split,
     "q_train_score": train_score,
+    "q_stump": stump,
+    "q_stump_score": stump_score,
     "q_lookup_csv": lookup_csv,
     "q_extract_select": selects,
 }
