@@ -11,7 +11,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.functions import (
@@ -24,7 +24,7 @@ from skyledger.functions import (
     unquote,
 )
 from skyledger.operators.keys import assert_unique, dense_key, natural_key
-from skyledger.operators.segments import explode_segments
+from skyledger.operators.segments import explode_segments, unpack
 from skyledger.sources.scratch import materialize
 
 FLIGHT_DETAILS = (
@@ -33,6 +33,7 @@ FLIGHT_DETAILS = (
     "is_basic_economy",
     "is_refundable",
 )
+_MEMBERS = "array<struct<dimension:string,values:array<string>>>"
 
 
 @dataclass(frozen=True)
@@ -146,6 +147,60 @@ def dim_date(raw: DataFrame, stable: bool = False) -> DataFrame:
     return _keyed(parts, ["full_date"], "date_fk", stable)
 
 
+def tagged_members(raw: DataFrame) -> DataFrame:
+    """The different members of all dimensions of the raw table, from one scan.
+
+    ``dimension`` names what ``values`` is a member of: an airline's code and name, an
+    aircraft's description, the four columns of a fare product, or a date, as text. An
+    itinerary's members are made distinct on its own row, then by one hash aggregate.
+    """
+
+    def member(dimension: str, *values: Column) -> Column:
+        texts = [v.cast("string") for v in values]
+        return F.struct(F.lit(dimension).alias("dimension"), F.array(*texts).alias("values"))
+
+    def each(lists: Column, make: Callable[[Column], Column]) -> Column:
+        return F.coalesce(F.transform(lists, make), F.array().cast(_MEMBERS))
+
+    airlines = F.arrays_zip(
+        unpack(F.col("segments_airline_code"), "keep").alias("code"),
+        unpack(F.col("segments_airline_name"), "keep").alias("name"),
+    )
+    found = F.concat(
+        each(unpack(F.col("segments_equipment_description")), lambda x: member("aircraft", x)),
+        each(airlines, lambda x: member("airline", x["code"], x["name"])),
+        F.array(
+            member(
+                "flight_details",
+                F.col("fare_basis_code"),
+                F.col("segments_cabin_code"),
+                to_bool(F.col("is_basic_economy")),
+                to_bool(F.col("is_refundable")),
+            ),
+            member("date", to_date(F.col("search_date"))),
+            member("date", to_date(F.col("flight_date"))),
+        ),
+    )
+    coded = F.col("dimension").isin("aircraft", "airline")
+    first = F.col("values")[0]
+    return (
+        raw.select(F.explode(F.array_distinct(found)).alias("m"))
+        .select("m.dimension", "m.values")
+        .where(F.when(coded, not_blank(first)).otherwise(F.forall("values", lambda x: x.isNotNull())))
+        .distinct()
+    )
+
+
+def _of(members: DataFrame, dimension: str, *columns: Column | str) -> DataFrame:
+    """The members of one dimension, its texts as columns."""
+    return members.where(F.col("dimension") == dimension).select(
+        *[
+            (F.col("values")[i].alias(c) if isinstance(c, str) else c)
+            for i, c in enumerate(columns)
+        ]
+    )
+
+
 def _stored(name: str, build: Callable[[], DataFrame]) -> DataFrame:
     return materialize(build(), f"dim-{name}")
 
@@ -153,16 +208,35 @@ def _stored(name: str, build: Callable[[], DataFrame]) -> DataFrame:
 def build_dimensions(
     raw: DataFrame, raw_airports: DataFrame, stable: bool = False
 ) -> Dimensions:
-    """All five, stored with their keys.
+    """All five, stored with their keys; the raw table is read once.
 
-    Built side by side, as each reads other columns of the raw table.
+    Its members are stored first; the dimensions are then built side by side.
     """
+    members = materialize(tagged_members(raw), "dim-members")
+    details = [
+        F.col("values")[i].cast("boolean" if c.startswith("is_") else "string").alias(c)
+        for i, c in enumerate(FLIGHT_DETAILS)
+    ]
+    airlines = _of(members, "airline", "airline_code", "airline_name")
+    aircraft = _of(members, "aircraft", "equipment_description")
+    days = _of(members, "date", F.col("values")[0].cast("date").alias("full_date"))
     jobs = {
         "airport": lambda: dim_airport(raw_airports, stable),
-        "airline": lambda: dim_airline(raw, stable=stable),
-        "aircraft": lambda: dim_aircraft(raw, stable=stable),
-        "flight_details": lambda: dim_flight_details(raw, stable),
-        "date": lambda: dim_date(raw, stable),
+        "airline": lambda: build_dim(
+            airlines, airlines.columns, "airline_code", "airline_fk", stable
+        ),
+        "aircraft": lambda: build_dim(
+            aircraft, aircraft.columns, "equipment_description", "aircraft_fk", stable
+        ),
+        "flight_details": lambda: _keyed(
+            _of(members, "flight_details", *details), FLIGHT_DETAILS, "flight_details_fk", stable
+        ),
+        "date": lambda: _keyed(
+            days.select("full_date", *date_parts(F.col("full_date"))),
+            ["full_date"],
+            "date_fk",
+            stable,
+        ),
     }
     store = inheritable_thread_target(raw.sparkSession)(_stored)
     with ThreadPoolExecutor(len(jobs)) as pool:

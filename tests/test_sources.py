@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import datetime as dt
 import json
 
 import pytest
@@ -173,9 +174,9 @@ def test_read_day_prunes(spark):
     df = spark.createDataFrame(
         [(1, 2022, 5, 1), (2, 2022, 5, 2), (3, 2021, 5, 1)], "v int, year int, month int, day int"
     )
-    stored = tables.replace_table(df, "t_days", ["year", "month", "day"])
+    stored = tables.replace_table(df, "t_by_days", ["year", "month", "day"])
     for found in (
-        tables.read_day(spark, "t_days", "2022-05-02"),
+        tables.read_day(spark, "t_by_days", "2022-05-02"),
         stored.where(tables.on_day("2022-05-02")),
     ):
         assert [r.v for r in found.collect()] == [2]
@@ -226,3 +227,49 @@ def test_no_local_scratch_on_a_cluster(monkeypatch):
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         scratch.scratch_root(Session())
+
+
+def _by_day(spark, path):
+    days = [dt.date(2022, 4, 1) + dt.timedelta(days=i) for i in range(40)]
+    rows = [(i, d.year, d.month, d.day) for i, d in enumerate(days * 3)]
+    df = spark.createDataFrame(rows, "id int, year int, month int, day int")
+    tables.replace_path(df, path, ["year", "month", "day"])
+    return df
+
+
+def test_days_of_a_catalog_table(spark, tmp_path):
+    df = _by_day(spark, f"{tmp_path}/days")
+    stored = tables.register_table(spark, "t_by_days", f"{tmp_path}/days")
+    assert same_rows(df, stored)
+    one = tables.read_day(spark, "t_by_days", "2022-04-05")
+    assert sorted(r.id for r in one.collect()) == [4, 44, 84]
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    filters = plan.split("PartitionFilters: [")[1].split("ReadSchema")[0]
+    assert all(f"{c}#" in filters for c in ("year", "month", "day"))
+    asked = [(dt.date(2022, 4, 5),), (dt.date(2022, 5, 1),), (dt.date(1999, 1, 1),), (None,)]
+    days = spark.createDataFrame([*asked, asked[0]], "day date")
+    some = tables.read_days(spark, "t_by_days", days)
+    assert sorted(r.id for r in some.collect()) == [4, 30, 44, 70, 84, 110]
+    assert "dynamicpruning" in some._jdf.queryExecution().executedPlan().toString()
+    assert tables.read_days(spark, "t_by_days", days.limit(0)).isEmpty()
+
+
+def test_two_loads_of_a_registered_table(spark, tmp_path, dynamic_overwrite):
+    _by_day(spark, f"{tmp_path}/loads")
+    tables.register_table(spark, "t_by_loads", f"{tmp_path}/loads")
+    new = spark.createDataFrame([(-1, 5, 2022, 4), (-2, 1, 2030, 1)], "id int, day int, year int, month int")
+    tables.replace_partitions(new, "t_by_loads", ["year", "month", "day"])
+    rows = tables.read_table(spark, "t_by_loads", refresh=True).collect()
+    assert sorted(r.id for r in rows if (r.month, r.day) == (4, 5)) == [-1]
+    assert len(rows) == 120 - 3 + 2 and {r.id for r in rows if r.year == 2030} == {-2}
+
+
+def test_at_most_two_files_a_folder(spark, tmp_path):
+    """But for a folder that holds a third of all rows, which many tasks write."""
+    day = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 50).cast("int")
+    df = spark.range(30_000).withColumn("day", day).withColumn("text", F.sha2(F.col("id").cast("string"), 256))
+    tables.replace_path(df, f"{tmp_path}/files", ["day"])
+    files = {p.name: len(list(p.glob("*.parquet"))) for p in (tmp_path / "files").glob("day=*")}
+    assert files.pop("day=0") >= 2
+    assert len(files) == 49 and max(files.values()) <= 2
+    assert same_rows(df, spark.read.parquet(f"{tmp_path}/files"))

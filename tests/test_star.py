@@ -20,6 +20,7 @@ from skyledger.operators.skew import (
     semi_join,
     which_fit_broadcast,
 )
+from skyledger.schemas import RAW_ITINERARIES
 from tests.data import airports, raw, same_rows
 
 
@@ -204,3 +205,24 @@ def test_lookup_join_rejects_other_kinds(spark):
     left, right = skewed(spark)
     with pytest.raises(ValueError):
         lookup_join(left, right, ["k"], "outer")
+
+
+def test_all_dimensions_come_from_one_scan(spark, tmp_path):
+    rows = [
+        {"segments_airline_code": "B1||b1 ", "segments_airline_name": "One||Uno"},
+        {"segments_airline_code": None, "segments_equipment_description": "||  ||X"},
+        {"fare_basis_code": None, "search_date": "bad", "is_refundable": "maybe"},
+        {"segments_airline_code": "B2||B3", "segments_airline_name": "Two"},
+        {"segments_equipment_description": None, "search_date": None},
+    ]
+    raw(spark, *rows).repartition(2).write.parquet(f"{tmp_path}/raw")
+    source = spark.read.schema(RAW_ITINERARIES).parquet(f"{tmp_path}/raw")
+    plan = dims.tagged_members(source)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
+    scanned = plan.split("ReadSchema")[1]
+    assert "segments_distance" not in scanned and "total_fare" not in scanned
+    built = dims.build_dimensions(source, airports(spark, "AAA"))
+    assert same_rows(built.airline, dims.dim_airline(source))
+    assert same_rows(built.aircraft, dims.dim_aircraft(source))
+    assert same_rows(built.flight_details, dims.dim_flight_details(source))
+    assert same_rows(built.date, dims.dim_date(source))

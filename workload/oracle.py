@@ -451,6 +451,21 @@ SELECT leg_id, search_date_fk, flight_date_fk, min(base_fare) AS base_fare,
 FROM star GROUP BY leg_id, search_date_fk, flight_date_fk""",
     "q_partition_scan": f"""WITH {_SEG},{_dims()},{_STAR}
 SELECT * FROM star WHERE make_date(year, month, day) = DATE '{SCAN_DAY}'""",
+    "q_day_scan": f"""WITH {_SEG},{_dims()},{_STAR}
+SELECT * FROM star WHERE make_date(year, month, day) = DATE '{SCAN_DAY}'""",
+    "q_days_scan": f"""WITH {_SEG},{_dims()},{_STAR}
+SELECT * FROM star WHERE make_date(year, month, day) IN (
+  SELECT CAST(o_orderdate AS DATE) FROM orders
+  WHERE day(o_orderdate) = 1 AND year(o_orderdate) < 1994)""",
+    "q_replace_days": f"""WITH {_FLIGHTS},
+f AS (
+  SELECT leg_id, fare, CAST(year(day) AS INTEGER) AS fare_year,
+         CAST(month(day) AS INTEGER) AS fare_month, month(day) % 3 = 0 AS again
+  FROM flights
+)
+SELECT leg_id, round(CASE WHEN again THEN fare * 2 ELSE fare END, 2) AS total_fare, fare_year,
+       fare_month
+FROM f WHERE NOT again OR leg_id NOT LIKE '%7'""",
     "q_itinerary_search": f"WITH {_SEG},{_SEARCH} SELECT {_FOUND_COLUMNS} FROM found",
     "q_itinerary_packed": f"WITH {_SEG},{_SEARCH} SELECT {_FOUND_COLUMNS} FROM found",
     "q_itinerary_requests": f"""WITH {_SEG},{_SEARCH}
@@ -620,3 +635,18 @@ FROM (
   SELECT -1 - conv_id * 100000 - turn, text FROM conversations
 )""",
 }
+
+_ALL_DIMENSIONS = {
+    "airline": ("airline_fk", "airline_code"),
+    "aircraft": ("aircraft_fk", "equipment_description"),
+    "flight_details": (
+        "flight_details_fk",
+        "concat_ws('|', fare_basis_code, segments_cabin_code, is_basic_economy, is_refundable)",
+    ),
+    "date": ("date_fk", "CAST(full_date AS VARCHAR)"),
+}
+ORACLE["q_dimensions"] = " UNION ALL ".join(
+    f"SELECT '{name}' AS dimension, {key} AS key, {member} AS member "
+    f"FROM ({ORACLE[f'q_dim_{name}']})"
+    for name, (key, member) in _ALL_DIMENSIONS.items()
+)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from functools import reduce
 
 from pyspark.ml import Pipeline
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -48,7 +49,12 @@ from skyledger.sources.lookup_files import (
 from skyledger.sources.scratch import materialize, scratch_root
 from skyledger.sources.tables import (
     on_day,
+    read_day,
+    read_days,
     read_partition,
+    read_table,
+    register_table,
+    replace_partitions,
     replace_path,
     write_json_lines,
 )
@@ -76,6 +82,9 @@ def _dimensions(spark: SparkSession, d: str, raw: str) -> dims.Dimensions:
     return dims.build_dimensions(stored(spark, d, raw), stored(spark, d, "raw_airports"))
 
 
+_fact_paths: dict[tuple[str, str, str], str] = {}
+
+
 def _warehouse(
     spark: SparkSession, d: str, raw: str
 ) -> tuple[DataFrame, dims.Dimensions]:
@@ -89,7 +98,9 @@ def _warehouse(
         fact = star_fact(stored(spark, d, raw), built)
         if raw == "raw_itineraries":
             path = f"{scratch_root(spark)}/fact-{raw}-{len(_warehouses)}"
+            fact = materialize(fact, f"fact-{raw}-rows")
             _warehouses[key] = (replace_path(fact, path, FACT_PARTITIONS), built)
+            _fact_paths[key] = path
         else:
             _warehouses[key] = (materialize(fact, f"fact-{raw}"), built)
     return _warehouses[key]
@@ -175,6 +186,20 @@ def dim_date_ranges(spark: SparkSession, d: str) -> DataFrame:
     return dense_key(members, ["full_date"], "date_fk", single_task_rows=100)
 
 
+def dimensions_at_once(spark: SparkSession, d: str) -> DataFrame:
+    """Keys and codes of the dimensions that one pass over the raw table gives."""
+    built = _dimensions(spark, d, "dirty_itineraries")
+    parts = [
+        built.airline.select(F.lit("airline"), "airline_fk", "airline_code"),
+        built.aircraft.select(F.lit("aircraft"), "aircraft_fk", "equipment_description"),
+        built.flight_details.select(
+            F.lit("flight_details"), "flight_details_fk", F.concat_ws("|", *dims.FLIGHT_DETAILS)
+        ),
+        built.date.select(F.lit("date"), "date_fk", F.col("full_date").cast("string")),
+    ]
+    return reduce(DataFrame.unionAll, parts).toDF("dimension", "key", "member")
+
+
 def star(spark: SparkSession, d: str) -> DataFrame:
     raw = stored(spark, d, "raw_itineraries")
     return _with_rounded_fares(star_fact(raw, _dimensions(spark, d, "raw_itineraries")))
@@ -197,6 +222,61 @@ def partition_scan(spark: SparkSession, d: str) -> DataFrame:
     return _with_rounded_fares(fact.where(on_day(SCAN_DAY)))
 
 
+_days_tables: dict[tuple[str, str], str] = {}
+
+
+def _fact_table(spark: SparkSession, d: str) -> str:
+    """The stored ticket fact under a name in the catalog."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _days_tables:
+        _warehouse(spark, d, "raw_itineraries")
+        _days_tables[key] = f"fact_flight_ticket_{uuid.uuid4().hex[:8]}"
+        register_table(spark, _days_tables[key], _fact_paths[(*key, "raw_itineraries")])
+    return _days_tables[key]
+
+
+def day_scan(spark: SparkSession, d: str) -> DataFrame:
+    """One day of the fact by its catalog name, through SQL."""
+    return _with_rounded_fares(read_day(spark, _fact_table(spark, d), SCAN_DAY))
+
+
+def days_scan(spark: SparkSession, d: str) -> DataFrame:
+    """The first days of months before 1994 on which an order was made, from a table of them."""
+    days = given(spark, d, "orders").select(F.col("o_orderdate").cast("date").alias("day"))
+    first = days.where((F.dayofmonth("day") == 1) & (F.year("day") < 1994)).distinct()
+    return _with_rounded_fares(read_days(spark, _fact_table(spark, d), first))
+
+
+def replace_days(spark: SparkSession, d: str) -> DataFrame:
+    """A fare table by month, loaded twice: the second load replaces the months it has.
+
+    Every third month is loaded again, at twice the fare and without some of its legs;
+    the others stay as they were. The table is refreshed and read back.
+    """
+    name = f"fares_by_month_{uuid.uuid4().hex[:8]}"
+    by = ["fare_year", "fare_month"]
+    fares = stored(spark, d, "flights").select(
+        "leg_id",
+        "total_fare",
+        F.year("flight_date").alias("fare_year"),
+        F.month("flight_date").alias("fare_month"),
+    )
+    again = fares.where("fare_month % 3 = 0 AND leg_id NOT LIKE '%7'").withColumn(
+        "total_fare", F.col("total_fare") * 2
+    )
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    old = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")
+    try:
+        path = f"{scratch_root(spark)}/{name}"
+        replace_path(fares, path, by)
+        register_table(spark, name, path)
+        replace_partitions(again, name, by)
+    finally:
+        spark.conf.set(mode, old)
+    return _with_rounded_fares(read_table(spark, name, refresh=True))
+
+
 def search(spark: SparkSession, d: str) -> DataFrame:
     wide_table = wide_flights(stored(spark, d, "raw_itineraries"))
     return _with_rounded_fares(itinerary_search(wide_table))
@@ -586,10 +666,14 @@ QUERIES = {
     "q_dim_flight_details": dim_flight_details,
     "q_dim_date": dim_date,
     "q_dim_date_ranges": dim_date_ranges,
+    "q_dimensions": dimensions_at_once,
     "q_star_fact": star,
     "q_lookup_normalized": lookup_normalized,
     "q_itinerary_fares": fares_per_itinerary,
     "q_partition_scan": partition_scan,
+    "q_day_scan": day_scan,
+    "q_days_scan": days_scan,
+    "q_replace_days": replace_days,
     "q_itinerary_search": search,
     "q_itinerary_requests": search_requests,
     "q_search_partition": search_partition,
