@@ -174,9 +174,9 @@ def test_read_day_prunes(spark):
     df = spark.createDataFrame(
         [(1, 2022, 5, 1), (2, 2022, 5, 2), (3, 2021, 5, 1)], "v int, year int, month int, day int"
     )
-    stored = tables.replace_table(df, "t_by_days", ["year", "month", "day"])
+    stored = tables.replace_table(df, "t_days", ["year", "month", "day"])
     for found in (
-        tables.read_day(spark, "t_by_days", "2022-05-02"),
+        tables.read_day(spark, "t_days", "2022-05-02"),
         stored.where(tables.on_day("2022-05-02")),
     ):
         assert [r.v for r in found.collect()] == [2]
@@ -239,19 +239,19 @@ def _by_day(spark, path):
 
 def test_days_of_a_catalog_table(spark, tmp_path):
     df = _by_day(spark, f"{tmp_path}/days")
-    stored = tables.register_table(spark, "t_by_days", f"{tmp_path}/days")
+    stored = tables.register_table(spark, "t_registered_days", f"{tmp_path}/days")
     assert same_rows(df, stored)
-    one = tables.read_day(spark, "t_by_days", "2022-04-05")
+    one = tables.read_day(spark, "t_registered_days", "2022-04-05")
     assert sorted(r.id for r in one.collect()) == [4, 44, 84]
     plan = one._jdf.queryExecution().executedPlan().toString()
     filters = plan.split("PartitionFilters: [")[1].split("ReadSchema")[0]
     assert all(f"{c}#" in filters for c in ("year", "month", "day"))
     asked = [(dt.date(2022, 4, 5),), (dt.date(2022, 5, 1),), (dt.date(1999, 1, 1),), (None,)]
     days = spark.createDataFrame([*asked, asked[0]], "day date")
-    some = tables.read_days(spark, "t_by_days", days)
+    some = tables.read_days(spark, "t_registered_days", days)
     assert sorted(r.id for r in some.collect()) == [4, 30, 44, 70, 84, 110]
     assert "dynamicpruning" in some._jdf.queryExecution().executedPlan().toString()
-    assert tables.read_days(spark, "t_by_days", days.limit(0)).isEmpty()
+    assert tables.read_days(spark, "t_registered_days", days.limit(0)).isEmpty()
 
 
 def test_two_loads_of_a_registered_table(spark, tmp_path, dynamic_overwrite):
