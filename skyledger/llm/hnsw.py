@@ -1,10 +1,12 @@
 """A hierarchical navigable small-world graph in flat numpy arrays.
 
-Distances are negated inner products of vectors that were brought to one length by an
-extra component, so that the nearest neighbour of a query is the vector with the
-largest inner product. Searches of many queries advance together: in each step every
-query expands its nearest unexpanded nodes, all their neighbours are scored by one
-product, and each query keeps its best ``ef``.
+An extra component brings all vectors to the length of the longest, so that the nearest
+neighbour of a query is the vector with the largest inner product. Distances between
+vectors are those of their differences; of the extra component only what it lacks to
+the full length is kept. So one vector that is very much longer than the rest does not
+drown what sets the others apart. Searches of many queries advance together: in each
+step every query expands its nearest unexpanded nodes, all their neighbours are scored
+by one product, and each query keeps its best ``ef``.
 """
 
 from __future__ import annotations
@@ -29,13 +31,29 @@ _WIDEST_BACK = 96
 
 
 def same_length(vectors: np.ndarray) -> np.ndarray:
-    """Vectors with a component that brings all to the length of the longest, scaled to 1."""
+    """Vectors scaled to a longest one of length 1, and what an extra component lacks to 1.
+
+    The component would be e = sqrt(1 - length^2); kept is 1 - e = length^2 / (1 + e),
+    which is exact for short vectors too.
+    """
     scaled = vectors.astype(np.float64)
     scaled = scaled / (np.abs(scaled).max(initial=0) or 1)
     norms = (scaled**2).sum(axis=1)
     top = norms.max(initial=0) or 1
-    extra = np.sqrt(np.maximum(top - norms, 0))
-    return (np.column_stack([scaled, extra]) / np.sqrt(top)).astype(np.float32)
+    norms = norms / top
+    lacking = norms / (1 + np.sqrt(np.maximum(1 - norms, 0)))
+    return np.column_stack([scaled / np.sqrt(top), lacking]).astype(np.float32)
+
+
+def _apart(differences: np.ndarray) -> np.ndarray:
+    """Squared lengths of differences of rows of ``same_length``."""
+    return np.einsum("...d,...d->...", differences, differences)
+
+
+def _all_apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Squared distances between all rows of two blocks."""
+    squares = (a[:, :-1] ** 2).sum(axis=1)[:, None] + (b[:, :-1] ** 2).sum(axis=1)
+    return squares - 2 * (a[:, :-1] @ b[:, :-1].T) + (a[:, -1:] - b[:, -1]) ** 2
 
 
 @dataclass
@@ -79,11 +97,11 @@ class Graph:
             queries = self.vectors[batch]
             if done <= BRUTE:
                 near = np.broadcast_to(nodes[:done], (len(batch), done))
-                away = -(queries @ self.vectors[nodes[:done]].T)
+                away = _all_apart(queries, self.vectors[nodes[:done]])
             else:
-                entries = self._enter(queries)
-                near, away = self._search(level.links, queries, entries, BUILD_EF)
-            own = -(queries @ queries.T)
+                entries = self._enter(queries, True)
+                near, away = self._search(level.links, queries, entries, BUILD_EF, True)
+            own = _all_apart(queries, queries)
             np.fill_diagonal(own, np.inf)
             near = np.concatenate([near, np.broadcast_to(batch, own.shape)], axis=1)
             away = np.concatenate([away, own], axis=1)
@@ -108,7 +126,7 @@ class Graph:
             good = real[:, c] & (away[:, c] < closest[:, c]) & (chosen.sum(axis=1) < most)
             chosen[good, c] = True
             if good.any():
-                between = -np.einsum("rd,rwd->rw", among[good, c], among[good])
+                between = _apart(among[good, c][:, None, :] - among[good])
                 closest[good] = np.minimum(closest[good], between)
         # Free places go to the nearest of the others.
         rank = np.where(chosen, 0, np.where(real, 1, 2)) * width + np.arange(width)
@@ -134,7 +152,7 @@ class Graph:
         to, frm = to[frm >= 0], frm[frm >= 0]
         both = np.unique(np.stack([to, frm], axis=1), axis=0)
         to, frm = both[:, 0], both[:, 1]
-        away = -np.einsum("nd,nd->n", self.vectors[to], self.vectors[frm])
+        away = _apart(self.vectors[to] - self.vectors[frm])
         order = np.lexsort((away, to))
         to, frm, away = to[order], frm[order], away[order]
         starts = np.searchsorted(to, touched)
@@ -155,33 +173,40 @@ class Graph:
             if len(at):
                 level.links[touched[at]] = self._diverse(near[at], far[at], most)
 
-    def _enter(self, queries: np.ndarray) -> np.ndarray:
+    def _away(self, queries: np.ndarray, nodes: np.ndarray, stored: bool) -> np.ndarray:
+        """From queries that are ``stored`` vectors, or directions, to nodes, row by row."""
+        if stored:
+            return _apart(queries - self.vectors[nodes])
+        return -np.einsum("kd,kd->k", queries, self.vectors[nodes])
+
+    def _enter(self, queries: np.ndarray, stored: bool) -> np.ndarray:
         """Descend through the levels that there are, to one entry node each."""
         if not self.levels:
             raise ValueError("there is no level above")
         entries = np.full(len(queries), self.levels[-1].nodes[0])
         for level in reversed(self.levels):
-            entries = self._search(level.links, queries, entries, 1)[0][:, 0]
+            entries = self._search(level.links, queries, entries, 1, stored)[0][:, 0]
         return entries
 
-    def _search(self, links, queries, entries, ef):
+    def _search(self, links, queries, entries, ef, stored):
         """Nodes and distances of the ``ef`` nearest found, unordered."""
         parts = [
-            self._search_together(links, queries[i : i + TOGETHER], entries[i : i + TOGETHER], ef)
+            self._search_together(
+                links, queries[i : i + TOGETHER], entries[i : i + TOGETHER], ef, stored
+            )
             for i in range(0, len(queries), TOGETHER)
         ]
         return tuple(np.concatenate(p) for p in zip(*parts))
 
-    def _search_together(self, links, queries, entries, ef):
-        vectors = self.vectors
-        b, n = len(queries), len(vectors)
+    def _search_together(self, links, queries, entries, ef, stored):
+        b, n = len(queries), len(self.vectors)
         seen = np.zeros((b, n + 1), dtype=bool)
         seen[:, n] = True  # stands for no node
         near = np.full((b, ef), n, dtype=np.int64)
         away = np.full((b, ef), np.inf, dtype=np.float32)
         open_ = np.zeros((b, ef), dtype=bool)
         near[:, 0] = entries
-        away[:, 0] = -np.einsum("bd,bd->b", queries, vectors[entries])
+        away[:, 0] = self._away(queries, entries, stored)
         open_[:, 0] = True
         seen[np.arange(b), entries] = True
         active = np.arange(b)
@@ -200,9 +225,7 @@ class Graph:
             new = grown < n
             row, col = np.nonzero(new)
             scores = np.full(grown.shape, np.inf, dtype=np.float32)
-            scores[row, col] = -np.einsum(
-                "kd,kd->k", queries[active[row]], vectors[grown[row, col]]
-            )
+            scores[row, col] = self._away(queries[active[row]], grown[row, col], stored)
             all_near = np.concatenate([near[active], grown], axis=1)
             all_away = np.concatenate([away[active], scores], axis=1)
             all_open = np.concatenate([open_[active], new], axis=1)
@@ -218,5 +241,6 @@ class Graph:
         scaled = queries.astype(np.float64)
         scaled /= np.maximum(np.sqrt((scaled**2).sum(axis=1, keepdims=True)), 1e-300)
         queries = np.column_stack([scaled, np.zeros(len(scaled))]).astype(np.float32)
-        near, away = self._search(self.levels[0].links, queries, self._enter(queries), ef)
+        entries = self._enter(queries, False)
+        near, away = self._search(self.levels[0].links, queries, entries, ef, False)
         return np.where(np.isfinite(away), near, -1)

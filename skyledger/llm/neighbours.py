@@ -1,14 +1,16 @@
 """Approximate nearest neighbours by inner product: one HNSW graph per shard.
 
 Equal vectors are one node, with the ``k`` + 1 smallest ids that carry them; more can
-never be among the ``k`` nearest of a query. Nodes are dealt to shards of about
-``SHARD_NODES`` by a hash of the vector, a graph is built for each shard and stored as
-flat arrays, one row per shard. Blocks of queries meet every shard of their dimension,
+never be among the ``k`` nearest of a query. Nodes are dealt to shards by a hash of the
+vector, a graph is built for each shard and stored as flat arrays, one row per shard.
+A task opens a shard once and all queries of its dimension stream past it in batches;
 each shard gives its nearest by the exact product in double precision, and the results
 are merged.
 
-Every row is indexed; nothing is sampled. A task holds one shard's arrays and one
-block of at most about ``BLOCK_QUERIES`` queries. A vector that a third of all rows
+Every row is indexed; nothing is sampled. Shards have about ``SHARD_NODES`` nodes, more
+in a large table (there are no more shards than shuffle partitions) up to
+``MOST_NODES``. A task holds one shard's arrays and one batch of queries; a shard is
+moved once. A vector that a third of all rows
 share reaches the shuffle as at most ``k`` + 1 ids per task.
 
 Cases: vectors that are null, empty, all zero or hold a null or non-finite component
@@ -20,6 +22,8 @@ gives no rows. Other columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -29,8 +33,7 @@ from skyledger.llm import hnsw
 from skyledger.sources.scratch import materialize
 
 K = 20
-SHARD_NODES = 8192
-BLOCK_QUERIES = 2048
+SHARD_NODES, MOST_NODES = 8192, 65536
 TASKS_PER_SHARD = 4
 QUERY_EVERY = 20
 
@@ -68,8 +71,10 @@ def build_index(vectors: DataFrame, k: int = K) -> DataFrame:
         .agg(F.sort_array(F.collect_list("vec_id")).alias("ids")),
         "ann-nodes",
     )
+    tasks = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = min(max(SHARD_NODES, nodes.count() // tasks), max(SHARD_NODES, MOST_NODES))
     shards = nodes.groupBy("dim").agg(
-        F.ceil(F.count("*") / F.lit(SHARD_NODES)).cast("int").alias("shards")
+        F.ceil(F.count("*") / F.lit(size)).cast("int").alias("shards")
     )
     dealt = nodes.join(shards, "dim").withColumn(
         "shard", F.pmod(F.xxhash64("embedding"), F.col("shards")).cast("int")
@@ -116,8 +121,9 @@ def build_index(vectors: DataFrame, k: int = K) -> DataFrame:
     return materialize(built.applyInArrow(build, INDEX), "ann-index")
 
 
-def _matrix(column: pa.ChunkedArray, dim: int) -> np.ndarray:
-    flat = column.combine_chunks().flatten()
+def _matrix(column: pa.ChunkedArray | pa.Array, dim: int) -> np.ndarray:
+    whole = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    flat = whole.flatten()
     return flat.to_numpy(zero_copy_only=False).reshape(-1, dim)
 
 
@@ -144,25 +150,16 @@ def search(
     ``queries`` has the columns of ``usable``.
     """
     sizes = index.groupBy("dim").agg(F.count("*").cast("int").alias("_shards"))
-    asked = materialize(queries.withColumn("_query", F.xxhash64("embedding")), "ann-queries")
-    blocks = asked.groupBy("dim").agg(
-        F.ceil(F.count("*") / F.lit(BLOCK_QUERIES)).cast("int").alias("_blocks")
-    )
-    own = F.pmod(F.xxhash64("vec_id", "_query"), F.col("_blocks")).cast("int")
-    dealt = (
-        asked.join(sizes, "dim")
-        .join(blocks, "dim")
-        .select(
-            "dim",
-            F.explode(F.sequence(F.lit(0), F.col("_shards") - 1)).alias("shard"),
-            own.alias("block"),
-            "vec_id",
-            "_query",
-            "embedding",
-        )
-    )
-    copies = index.join(blocks, "dim").select(
-        *index.columns, F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("block")
+    asked = queries.withColumn("_query", F.xxhash64("embedding")).join(sizes, "dim")
+    every = F.explode(F.sequence(F.lit(0), F.col("_shards") - 1)).alias("shard")
+    arrays = [c for c in index.columns if c not in ("dim", "shard")]
+    stream = index.select(
+        *index.columns,
+        F.lit(None).cast("long").alias("vec_id"),
+        F.lit(None).cast("long").alias("_query"),
+        F.lit(None).cast("array<double>").alias("embedding"),
+    ).unionByName(
+        asked.select("dim", every, "vec_id", "_query", "embedding"), allowMissingColumns=True
     )
     schema = pa.schema(
         [
@@ -173,10 +170,8 @@ def search(
         ]
     )
 
-    def run(shard: pa.Table, asked: pa.Table) -> pa.Table:
-        if not shard.num_rows or not asked.num_rows:
-            return schema.empty_table()
-        graph, vectors, ids, counts = _opened(shard)
+    def answer(opened, asked: pa.RecordBatch) -> pa.RecordBatch:
+        graph, vectors, ids, counts = opened
         ends = np.cumsum(counts)
         wanted = _matrix(asked.column("embedding"), vectors.shape[1])
         query_ids = asked.column("vec_id").to_numpy()
@@ -196,12 +191,29 @@ def search(
             n = len(top)
             out.append((np.full(n, query_ids[i]), np.full(n, keys[i]), found_ids[top], scores[top]))
         columns = [np.concatenate(c) for c in zip(*out)]
-        return pa.Table.from_arrays(
+        return pa.RecordBatch.from_arrays(
             [pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema
         )
 
-    keys = "dim", "shard", "block"
-    hits = copies.groupBy(*keys).cogroup(dealt.groupBy(*keys)).applyInArrow(run, HITS)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        opened = None
+        for batch in batches:
+            if batch.column("vectors").null_count < batch.num_rows:
+                first = batch.slice(0, 1)
+                if opened is not None or first.column("vectors").null_count:
+                    raise RuntimeError("a shard must come before its queries")
+                opened = _opened(pa.Table.from_batches([first]))
+                batch = batch.slice(1)
+            for at in range(0, batch.num_rows, hnsw.TOGETHER):
+                yield answer(opened, batch.slice(at, hnsw.TOGETHER))
+
+    # The row of the shard sorts before those of the queries.
+    total = index.count() or 1
+    dealt = stream.select("dim", "shard", *arrays, "vec_id", "_query", "embedding")
+    dealt = dealt.repartition(TASKS_PER_SHARD * total, "dim", "shard").sortWithinPartitions(
+        "dim", "shard", F.col("vec_id").asc_nulls_first()
+    )
+    hits = dealt.groupBy("dim", "shard").applyInArrow(run, HITS)
     nearest = Window.partitionBy("query_id", "_query").orderBy(F.desc("score"), "vec_id")
     return (
         hits.withColumn("rank", F.row_number().over(nearest))

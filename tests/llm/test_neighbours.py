@@ -110,3 +110,32 @@ def test_graph_search_against_brute_force(n):
         want += len(top)
         hit += len(set(top) & set(near[i]))
     assert hit >= 0.9 * want
+
+
+@pytest.mark.parametrize("times", [100, 1_000, 3_000, 10_000, 1_000_000])
+def test_recall_beside_a_very_long_vector(times):
+    """More than ``BRUTE`` nodes, one of them ``times`` as long as the rest."""
+    rng = np.random.default_rng(7)
+    vectors = rng.normal(size=(4000, 32))
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    vectors[17] *= times
+    graph = hnsw.Graph.build(vectors)
+    queries = vectors[::40]
+    near = graph.search(queries)
+    hit = 0
+    for q, found in zip(queries, near):
+        exact = set(np.argsort(-(vectors @ q))[:20].tolist())
+        found = found[found >= 0]
+        hit += len(exact & set(found[np.argsort(-(vectors[found] @ q))[:20]].tolist()))
+    assert hit >= 0.95 * 20 * len(queries)
+
+
+def test_a_shard_is_moved_once(spark):
+    """The index is read and shuffled as it is; only queries are copied."""
+    vectors = neighbours.usable(spark.read.parquet(f"{D}/sf0.001/embeddings.parquet"))
+    index = neighbours.build_index(vectors)
+    found = neighbours.search(index, vectors.where("vec_id % 20 = 0"))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    lines = [x for x in plan.splitlines() if "Generate explode" in x]
+    assert lines and not any("links" in x or "id_counts" in x for x in lines)
+    assert "FlatMapCoGroups" not in plan and found.count() == 25 * 20
