@@ -20,7 +20,7 @@ row each; an empty table gives none; other columns are ignored.
 from __future__ import annotations
 
 import re
-from collections import Counter
+from collections import defaultdict
 from html import unescape
 
 import pyarrow as pa
@@ -112,7 +112,11 @@ class Page:
         #: owner, text, characters in links
         self.blocks: list[tuple[int, str, int]] = []
         self._open = [0]
-        self._opened: Counter[str] = Counter()
+        # For each open element the nearest one that owns text, and per tag the depths at
+        # which it is open; nothing has to be looked for among the open elements.
+        self._owner = [0]
+        self._depths: defaultdict[str, list[int]] = defaultdict(list)
+        self._block_depths = [0]
         self._runs: list[str] = []
         self._linked = 0
         self._read(html)
@@ -121,27 +125,27 @@ class Page:
         if self._runs:
             text = " ".join("".join(self._runs).split())
             if text:
-                owner = next(i for i in reversed(self._open) if self.tag[i] not in INLINE)
-                self.blocks.append((owner, text, min(self._linked, len(text))))
+                self.blocks.append((self._owner[-1], text, min(self._linked, len(text))))
             self._runs, self._linked = [], 0
 
     def _close(self, depth: int) -> None:
         """End the open elements from ``depth`` on."""
-        if any(self.tag[i] not in INLINE for i in self._open[depth:]):
+        if self._block_depths[-1] >= depth:
             self._flush()
-        self._opened.subtract(self.tag[i] for i in self._open[depth:])
-        del self._open[depth:]
+        for i in self._open[depth:]:
+            self._depths[self.tag[i]].pop()
+        del self._open[depth:], self._owner[depth:]
+        while self._block_depths[-1] >= depth:
+            self._block_depths.pop()
+
+    def _deepest(self, kinds) -> int:
+        """The depth of the innermost open element of these kinds, 0 if there is none."""
+        return max((self._depths[k][-1] for k in kinds if self._depths[k]), default=0)
 
     def _end_within(self, kinds, bounds) -> None:
-        if not any(self._opened[k] for k in kinds):
-            return None
-        for depth in range(len(self._open) - 1, 0, -1):
-            tag = self.tag[self._open[depth]]
-            if tag in kinds:
-                return self._close(depth)
-            if tag in bounds:
-                return None
-        return None
+        depth = self._deepest(kinds)
+        if depth and depth >= self._deepest(bounds):
+            self._close(depth)
 
     def _start(self, tag: str, attrs: str) -> None:
         if tag not in INLINE:
@@ -158,14 +162,18 @@ class Page:
         drop, good = self._kind(tag, attrs)
         self.drop.append(drop)
         self.good.append(good)
-        self._open.append(len(self.tag) - 1)
-        self._opened[tag] += 1
+        depth, here = len(self._open), len(self.tag) - 1
+        self._open.append(here)
+        self._owner.append(self._owner[-1] if tag in INLINE else here)
+        self._depths[tag].append(depth)
+        if tag not in INLINE:
+            self._block_depths.append(depth)
 
     def _kind(self, tag: str, attrs: str) -> tuple[bool, int]:
         """Whether an element is no part of an article, and points for its class."""
         if tag in NOT_TEXT:
             return True, 0
-        in_article = self._opened["article"] + self._opened["main"] > 0
+        in_article = bool(self._depths["article"] or self._depths["main"])
         if tag == "header" and not in_article:
             return True, 0
         if not attrs or tag in ("html", "body"):
@@ -195,23 +203,21 @@ class Page:
         return bad, 25 * bool(good)
 
     def _end(self, tag: str) -> None:
-        if not self._opened[tag]:
-            return None
-        for depth in range(len(self._open) - 1, 0, -1):
-            here = self.tag[self._open[depth]]
-            if here == tag:
-                return self._close(depth)
-            if tag in INLINE and here not in INLINE:
-                return None
-            if here in ("td", "th", "table") and tag not in ("tr", "table", "tbody"):
-                return None
-        return None
+        depth = self._deepest((tag,))
+        if not depth:
+            return
+        inside = ("td", "th", "table") if tag not in ("tr", "table", "tbody") else ()
+        barrier = self._deepest(inside)
+        if tag in INLINE:
+            barrier = max(barrier, self._block_depths[-1])
+        if depth >= barrier:
+            self._close(depth)
 
     def _text(self, raw: str) -> None:
         if raw:
             text = unescape(raw) if "&" in raw else raw
             self._runs.append(text)
-            if self._opened["a"]:
+            if self._depths["a"]:
                 self._linked += len(" ".join(text.split()))
 
     def _read(self, html: str) -> None:
@@ -271,6 +277,15 @@ def main_text(html: str) -> str:
         out[i] = out[parent[i]] or out[i] or menu
     blocks = [b for b in page.blocks if not out[b[0]]]
 
+    # The nearest element that scores, itself included: of a block, and further up.
+    first, further = [-1] * n, [-1] * n
+    for i in range(n):
+        above = parent[i]
+        part = tag[i] in PARTS
+        first[i] = (first[above] if above >= 0 else -1) if part else i
+        skip = part and tag[i] != "td"
+        further[i] = (further[above] if above >= 0 else -1) if skip else i
+
     points: dict[int, float] = {}
     for owner, text, link in blocks:
         got = len(text) / SHORT
@@ -278,16 +293,14 @@ def main_text(html: str) -> str:
             got = 1 + len(COMMAS.findall(text)) + min(len(text) / 100, 3)
         got *= 1 - link / len(text)
         at = parent[owner] if tag[owner] in PROSE else owner
-        level = 0
+        at, level = first[at] if at >= 0 else -1, 0
         while at >= 0 and level < LEVELS:
-            if tag[at] in PARTS and not (tag[at] == "td" and level):
-                at = parent[at]
-                continue
             share = 1 if level == 0 else 2 if level == 1 else 3 * level
             if at not in points:
                 points[at] = TAG_POINTS.get(tag[at], 0) + page.good[at]
             points[at] += got / share
-            at, level = parent[at], level + 1
+            at = further[parent[at]] if parent[at] >= 0 else -1
+            level += 1
     if not points:
         return ""
     score = {i: p * (1 - linked[i] / max(size[i], 1)) for i, p in points.items()}

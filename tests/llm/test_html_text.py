@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import html
 import re
+import time
 
 import pytest
 
@@ -84,3 +85,15 @@ def test_edge_rows(spark):
     got = sorted(main_texts(pages).collect(), key=repr)
     assert [r.text for r in got].count("") == 3 and len(got) == 4
     assert main_texts(pages.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize(
+    "part", ["<ul><li>x", "<table><tr><td>x", "<b>x<hr>", "<p>x<div>", "<i>x</b>", "<td><p>x<div>"]
+)
+def test_deep_pages_take_linear_time(part):
+    start = time.process_time()
+    found = main_text("<p><table><tr><td>" + part * 20_000)
+    assert time.process_time() - start < 2
+    assert set(found) <= {"x", " "}
+    whole = main_text(f"<body><div><p>{'A sentence, with commas, in it. ' * 20}</p></div>" + part * 50)
+    assert whole.startswith("A sentence, with commas")
