@@ -6,8 +6,8 @@ suffix (the state without its first word):
 
     P(w | s) = (max(c(s, w) - 1, 0) + types(s) * P(w | suffix(s))) / c(s)
 
-A context seen at least ``MIN_COUNT`` times is tested against its suffix if that is a
-state itself: it is kept if the next symbols seen twice or more, weighted by their
+A context that is at least ``MIN_SHARE`` of all training symbols (and was seen
+``MIN_COUNT`` times) is tested against its suffix if that is a state itself: it is kept if the next symbols seen twice or more, weighted by their
 counts, diverge from what the suffix predicts by ``MIN_GAIN`` nats in all, after what
 the symbols seen once lose by falling back. A token is scored by the longest kept
 suffix of the words before it.
@@ -18,7 +18,8 @@ context every slice sends, per context that is still tested, its distinct next s
 and their counts; those of one context meet, are added up and tested, and every slice
 gets back the counts of what it sent. Contexts beyond ``PART_COUNT`` occurrences, the
 root first of all, are dealt in parts by next symbol, so no task holds more than one
-part, however frequent a context is. Next symbols whose pair with the suffix is unique
+part, however frequent a context is. As the least count follows the corpus, a slice sends
+about as much of a large corpus as of a small one. Next symbols whose pair with the suffix is unique
 cannot repeat and are sent as a number. Nothing is collected but two totals; the
 statistics grow with the corpus and every text is scored whole.
 
@@ -29,6 +30,7 @@ symbols are unknown. An empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -46,6 +48,7 @@ from skyledger.sources.scratch import materialize
 
 DEPTH = 2
 MIN_COUNT = 32
+MIN_SHARE = 1e-6
 MIN_GAIN = 12.0
 SLICE_TOKENS = 2_000_000
 PART_COUNT = 1_000_000
@@ -58,17 +61,19 @@ _WINDOW = 1_000_000
 _CUT = 4 << 20
 _SPACE = re.compile(rb"[\x09-\x0d\x20]")
 _ROOT = np.uint64(0)
+#: Bits of a word's number for its place in a part of the root; the part is above them.
+_PLACE_BITS = 24
 
 SLICE = (
     "slice long, rows array<long>, ids array<long>, held_out array<boolean>, ends array<int>, "
     "lead int, words binary, codes binary"
 )
 SENT = (
-    "slice long, level int, context long, part int, parts int, total long, lone long, "
-    "symbols binary, counts binary, predicted binary"
+    "slice long, context long, part int, total long, lone int, symbols binary, counts binary, "
+    "predicted binary"
 )
 MERGED = (
-    "slice long, level int, context long, part int, parts int, total long, counts binary, "
+    "slice long, context long, part int, total long, counts binary, places binary, "
     "gain double, lone long, types long"
 )
 SCORES = "_row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double"
@@ -214,8 +219,7 @@ class Tested:
     """The contexts of one length in a slice, as they are sent and come back."""
 
     contexts: np.ndarray  # hash of the context of each sent row
-    parts_at: np.ndarray  # part of each row
-    parts: np.ndarray  # parts of the row's context
+    parts: np.ndarray  # part of each row
     total: np.ndarray  # occurrences of the row's context
     lone: np.ndarray  # unique symbols of the row that are not sent
     starts: np.ndarray  # first entry of each row, and the end
@@ -234,21 +238,22 @@ class Slice:
         self.totals, self.part_count, self.min_count = totals, part_count, min_count
         self.hashes = np.frombuffer(row["words"], "<u8")
         planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(row["codes"]), np.uint8)
-        self.codes = planes.reshape(4, -1).T.copy().view("<u4").ravel().astype(np.int64)
+        self.codes = planes.reshape(4, -1).T.copy().view("<u4").ravel().astype(np.int32)
+        self.numbers: np.ndarray | None = None  # of the words, once the root has come back
         n, lead = len(self.codes), row["lead"]
-        ends = np.array(row["ends"], dtype=np.int64)
-        self.starts = np.concatenate([[0], ends[:-1]])
-        lengths = ends - self.starts
-        self.doc = np.repeat(np.arange(len(ends)), lengths)
-        self.depth = np.arange(n) - np.repeat(self.starts, lengths)  # words before in the text
+        ends = np.array(row["ends"], dtype=np.int32)
+        starts = np.concatenate([ends[:0], [0], ends[:-1]]).astype(np.int32)
+        lengths = ends - starts
+        self.doc = np.repeat(np.arange(len(ends), dtype=np.int32), lengths)
+        # Words before each position in its text.
+        self.depth = np.arange(n, dtype=np.int32) - np.repeat(starts, lengths)
         self.counted = np.arange(n) >= lead
         self.train = self.counted & ~np.array(row["held_out"], dtype=bool)[self.doc]
         # Of each position: its count after the longest context tested, its log probability,
-        # whether the longest context so far is a state, and the hash of that context.
+        # and whether the longest context so far is a state.
         self.count = np.zeros(n, dtype=np.int64)
         self.log = np.zeros(n)
         self.state = np.ones(n, dtype=bool)
-        self.context = np.full(n, _ROOT)
         self.level = 0
 
     def _under_test(self) -> tuple[np.ndarray, np.ndarray]:
@@ -265,50 +270,58 @@ class Slice:
     def tested(self) -> Tested:
         """What this slice sends for contexts of the present length."""
         at, total = self._under_test()
-        symbols = self.hashes[self.codes[at]]
-        parts = np.maximum(1, -(-total // self.part_count))
-        part = (_mixed(symbols) % parts.astype(np.uint64)).astype(np.int64)
+        n, width = len(at), len(self.hashes)
         # A symbol whose pair with the shorter context is unique is so here as well.
-        sent = self.count[at] >= 2 if self.level else np.ones(len(at), dtype=bool)
-        # Rows by context, part and symbol; symbols that are not sent are 0.
-        local = np.where(sent, self.codes[at] + 1, 0)
-        context = np.zeros(len(at), dtype=np.int64)
+        sent = self.count[at] >= 2 if self.level else np.ones(n, dtype=bool)
+        context = np.zeros(n, dtype=np.int64)
         for d in range(self.level, 0, -1):
-            context = context * len(self.hashes) + self.codes[at - d]
-            if d < self.level:
+            context = context * width + self.codes[at - d]
+            if 1 < d:
                 context = np.unique(context, return_inverse=True)[1]
-        p, s = int(part.max(initial=0)) + 1, len(self.hashes) + 1
-        row_key = context * p + part
-        order = np.argsort(row_key * s + local)
-        r, e = row_key[order], local[order]
-        new_row = np.ones(len(order), dtype=bool)
-        new_row[1:] = r[1:] != r[:-1]
-        new_entry = new_row.copy()
-        new_entry[1:] |= e[1:] != e[:-1]
-        new_entry &= e > 0
-        first = order[new_row]
-        row = np.empty(len(order), dtype=np.int64)
+        # Symbols of hot contexts go to a part by their hash.
+        part = np.zeros(n, dtype=np.int32)
+        hot = np.flatnonzero(total > self.part_count)
+        if len(hot):
+            parts = -(-total[hot] // self.part_count)
+            part[hot] = _mixed(self.hashes[self.codes[at[hot]]]) % parts.astype(np.uint64)
+        # Rows by context, part and symbol; symbols that are not sent are 0.
+        key = context
+        key *= int(part.max(initial=0)) + 1
+        key += part
+        key *= width + 1
+        key += np.where(sent, self.codes[at] + 1, 0)
+        order = np.argsort(key)
+        key = key[order]
+        new_entry = np.ones(n, dtype=bool)
+        new_entry[1:] = key[1:] != key[:-1]
+        has = key % (width + 1) > 0
+        new_entry &= has
+        key //= width + 1
+        new_row = np.ones(n, dtype=bool)
+        new_row[1:] = key[1:] != key[:-1]
+        del key, context
+        first, entries = order[new_row], order[new_entry]
+        row, entry = np.empty(n, dtype=np.int32), np.empty(n, dtype=np.int32)
         row[order] = np.cumsum(new_row) - 1
-        entry = np.full(len(order), -1, dtype=np.int64)
-        entry[order] = np.where(e > 0, np.cumsum(new_entry) - 1, -1)
+        entry[order] = np.where(has, np.cumsum(new_entry) - 1, -1)
+        rows = len(first)
         # The hash of a context of several words; only its words count.
-        words = [self.hashes[self.codes[at[first] - d]] for d in range(self.level, 0, -1)]
-        contexts = np.full(len(first), _ROOT)
-        for w in words:
-            contexts = _mixed(contexts * np.uint64(0x9E3779B97F4A7C15) + w)
-        train, n = self.train[at], len(first)
-        entries = order[new_entry]
-        has = entry >= 0
+        contexts = np.full(rows, _ROOT)
+        for d in range(self.level, 0, -1):
+            word = self.hashes[self.codes[at[first] - d]]
+            contexts = _mixed(contexts * np.uint64(0x9E3779B97F4A7C15) + word)
+        train, has = self.train[at], entry >= 0
         lone = train & ~has  # each a symbol of its own
+        words = self.codes[at[entries]]
+        symbols = self.hashes[words] if self.numbers is None else self.numbers[words]
         return Tested(
             contexts=contexts,
-            parts_at=part[first],
-            parts=parts[first],
+            parts=part[first],
             total=total[first],
-            lone=np.bincount(row[lone], minlength=n),
-            starts=np.concatenate([[0], np.cumsum(np.bincount(row[entries], minlength=n))]),
-            symbols=symbols[entries],
-            counts=np.bincount(entry[has], weights=train[has], minlength=len(entries)).astype("<u4"),
+            lone=np.bincount(row[lone], minlength=rows).astype(np.int32),
+            starts=np.concatenate([[0], np.cumsum(np.bincount(row[entries], minlength=rows))]),
+            symbols=symbols,
+            counts=np.bincount(entry[has & train], minlength=len(entries)).astype("<u4"),
             predicted=self.log[at[entries]].astype("<f2"),
             at=at,
             row=row,
@@ -339,14 +352,14 @@ class Slice:
 
     def learn_replies(self, table: pa.Table) -> None:
         """Learn the levels that are in the replies to this slice, in their order."""
-        level_of = table.column("level").to_numpy() if table.num_rows else np.empty(0, int)
+        level_of = table.column("level").to_numpy()
         for level in range(int(level_of.max(initial=-1)) + 1):
             asked = self.tested()
             mine = table.filter(pa.array(level_of == level)).combine_chunks()
             context = mine.column("context").to_numpy().view(np.uint64)
             part = mine.column("part").to_numpy()
             theirs = np.lexsort((part, context))
-            ours = np.lexsort((asked.parts_at, asked.contexts))
+            ours = np.lexsort((asked.parts, asked.contexts))
             if not np.array_equal(context[theirs], asked.contexts[ours]):
                 raise RuntimeError("the replies to a slice are not those it asked for")
             back = np.empty(len(ours), dtype=np.int64)
@@ -354,6 +367,14 @@ class Slice:
             rows = mine.take(pa.array(back))
             data = b"".join(rows.column("counts").to_pylist())
             kept = rows.column("kept").to_numpy(zero_copy_only=False)
+            if level == 0:
+                # Every word is an entry of one row; rows are parts of the root.
+                place = np.frombuffer(b"".join(rows.column("places").to_pylist()), "<u4")
+                above = np.repeat(asked.parts.astype(np.uint64) << np.uint64(_PLACE_BITS), np.diff(asked.starts))
+                number = above + place
+                small = number.max(initial=0) < 1 << 32
+                self.numbers = np.zeros(len(self.hashes), dtype="<u4" if small else "<u8")
+                self.numbers[self.codes[asked.at]] = number[asked.entry]
             self.learn(asked, np.frombuffer(data, "<u4"), kept, rows.column("types").to_numpy())
 
     def scores(self, row: dict) -> pa.RecordBatch:
@@ -390,12 +411,10 @@ def _sent(part: Slice, number: int) -> pa.Table:
     return pa.table(
         {
             "slice": np.full(n, number),
-            "level": np.full(n, part.level, dtype=np.int32),
             "context": asked.contexts.view(np.int64),
-            "part": asked.parts_at.astype(np.int32),
-            "parts": asked.parts.astype(np.int32),
+            "part": asked.parts,
             "total": asked.total,
-            "lone": asked.lone.astype(np.int64),
+            "lone": asked.lone,
             "symbols": _binary(asked.symbols, asked.starts),
             "counts": _binary(asked.counts, asked.starts),
             "predicted": _binary(asked.predicted, asked.starts),
@@ -407,15 +426,29 @@ def _joined(table: pa.Table, name: str, dtype: str) -> np.ndarray:
     return np.frombuffer(b"".join(table.column(name).to_pylist()), dtype)
 
 
-def merge(table: pa.Table) -> pa.Table:
-    """Counts of all slices for whole parts of contexts, and the parts' share of the test."""
+def _symbols(table: pa.Table, sizes: np.ndarray) -> np.ndarray:
+    """Numbers of 4 or 8 bytes; slices whose words have small numbers send the shorter."""
+    data = table.column("symbols").to_pylist()
+    if all(len(x) == 8 * n for x, n in zip(data, sizes.tolist())):
+        return np.frombuffer(b"".join(data), "<u8")
+    if all(len(x) == 4 * n for x, n in zip(data, sizes.tolist())):
+        return np.frombuffer(b"".join(data), "<u4")
+    parts = [np.frombuffer(x, f"<u{len(x) // n}") for x, n in zip(data, sizes.tolist()) if n]
+    return np.concatenate([p.astype("<u8") for p in parts])
+
+
+def merge(table: pa.Table, level: int) -> pa.Table:
+    """Counts of all slices for whole parts of contexts, and the parts' share of the test.
+
+    The root also numbers its symbols, by their place in the part.
+    """
     context, part = table.column("context").to_numpy(), table.column("part").to_numpy()
     new = np.ones(len(context), dtype=bool)
     new[1:] = (context[1:] != context[:-1]) | (part[1:] != part[:-1])
     group = np.cumsum(new) - 1
-    sizes = pc.binary_length(table.column("symbols")).to_numpy().astype(np.int64) // 8
+    sizes = pc.binary_length(table.column("counts")).to_numpy().astype(np.int64) // 4
     of = np.repeat(group, sizes)
-    symbols, counts = _joined(table, "symbols", "<u8"), _joined(table, "counts", "<u4")
+    counts, symbols = _joined(table, "counts", "<u4"), _symbols(table, sizes)
     order = np.lexsort((symbols, of))
     first = np.ones(len(order), dtype=bool)
     first[1:] = (of[order][1:] != of[order][:-1]) | (symbols[order][1:] != symbols[order][:-1])
@@ -432,10 +465,19 @@ def merge(table: pa.Table) -> pa.Table:
     gains = np.bincount(at[twice], weights=gain, minlength=n)
     once = lone + np.bincount(at[total == 1], minlength=n)
     types = lone + np.bincount(at[total >= 1], minlength=n)
+    starts = np.concatenate([[0], np.cumsum(sizes)])
+    if level:
+        places = pa.array([b""] * len(table), pa.binary())
+    else:
+        place = entry - np.searchsorted(at, of)
+        if place.max(initial=0) >> _PLACE_BITS:
+            raise OverflowError("a part of the root has too many words")
+        places = _binary(place.astype("<u4"), starts)
     return pa.table(
         {
-            **{c: table.column(c) for c in ("slice", "level", "context", "part", "parts", "total")},
-            "counts": _binary(total[entry].astype("<u4"), np.concatenate([[0], np.cumsum(sizes)])),
+            **{c: table.column(c) for c in ("slice", "context", "part", "total")},
+            "counts": _binary(total[entry].astype("<u4"), starts),
+            "places": places,
             "gain": gains[group].astype(float),
             "lone": once[group].astype(np.int64),
             "types": types[group].astype(np.int64),
@@ -443,7 +485,7 @@ def merge(table: pa.Table) -> pa.Table:
     )
 
 
-def _merged(sent: DataFrame) -> DataFrame:
+def _merged(sent: DataFrame, level: int) -> DataFrame:
     """``MERGED`` for every sent row; parts of contexts are merged whole, some at a time."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -451,7 +493,7 @@ def _merged(sent: DataFrame) -> DataFrame:
         for batch in batches:
             table = pa.Table.from_batches([batch])
             held.append(table)
-            if sum(t.column("symbols").nbytes for t in held) < 8 * _WINDOW:
+            if sum(t.column("counts").nbytes for t in held) < 4 * _WINDOW:
                 continue
             table = pa.concat_tables(held).combine_chunks()
             context, part = table.column("context").to_numpy(), table.column("part").to_numpy()
@@ -459,37 +501,44 @@ def _merged(sent: DataFrame) -> DataFrame:
             stop = int(np.argmax(same))  # the last part may go on
             held = [table.slice(stop)]
             if stop:
-                yield from merge(table.slice(0, stop)).to_batches()
+                yield from merge(table.slice(0, stop), level).to_batches()
         if held:
-            yield from merge(pa.concat_tables(held).combine_chunks()).to_batches()
+            yield from merge(pa.concat_tables(held).combine_chunks(), level).to_batches()
 
     by = ["context", "part"]
     return sent.repartition(*by).sortWithinPartitions(*by).mapInArrow(run, MERGED)
 
 
-def replies(sent: DataFrame, min_gain: float) -> DataFrame:
+def replies(sent: DataFrame, level: int, min_gain: float, part_count: int) -> DataFrame:
     """Stored counts for every sent row, whether its context is a state, and its types."""
-    merged = materialize(_merged(sent), "pst-merged", "zstd")
+    merged = materialize(_merged(sent, level), "pst-merged", "zstd")
     sums = ["gain", "lone", "types"]
     split = (
-        merged.where(F.col("parts") > 1)
+        merged.where(F.col("total") > part_count)
         .groupBy("context", "part")
         .agg(*[F.first(c).alias(c) for c in sums])  # equal in all rows of a part
         .groupBy("context")
         .agg(*[F.sum(c).alias(f"_{c}") for c in sums])
     )
     split = materialize(split, "pst-split")
-    whole = lookup_join(merged, split, ["context"], "left")
-    gain, once, types = (F.coalesce(f"_{c}", c) for c in sums)
+    # Only the rows of hot contexts need the sums over all parts.
+    one = merged.where(F.col("total") <= part_count)
+    several = lookup_join(merged.where(F.col("total") > part_count), split, ["context"], "inner")
+    whole = one.unionByName(
+        several.select(*[c for c in merged.columns if c not in sums], *[F.col(f"_{c}").alias(c) for c in sums])
+    )
+    gain, once, types = (F.col(c) for c in sums)
     # What symbols seen once gain by falling back: the logarithm of the share of types.
     share = F.log(F.greatest(types, F.lit(1)) / F.col("total"))
+    kept = F.lit(True) if level == 0 else gain + once * share >= min_gain
     return whole.select(
         "slice",
-        "level",
+        F.lit(level).alias("level"),
         "context",
         "part",
         "counts",
-        ((F.col("level") == 0) | (gain + once * share >= min_gain)).alias("kept"),
+        "places",
+        kept.alias("kept"),
         types.alias("types"),
     )
 
@@ -498,6 +547,7 @@ def score(
     docs: DataFrame,
     depth: int = DEPTH,
     min_count: int = MIN_COUNT,
+    min_share: float = MIN_SHARE,
     min_gain: float = MIN_GAIN,
     slice_tokens: int = SLICE_TOKENS,
     part_count: int = PART_COUNT,
@@ -516,6 +566,7 @@ def score(
         F.sum(F.aggregate(lengths, F.lit(0).cast("long"), lambda a, x: a + x)), F.count("*")
     ).first()
     totals, pieces = Totals(found[0] or 0), found[1]
+    min_count = max(min_count, 2, math.ceil(min_share * totals.tokens))
     # A slice is few bytes and much work: a stated number of partitions is not merged.
     dealt = made.repartition(max(1, 2 * pieces), "slice").groupBy("slice")
     known: DataFrame | None = None
@@ -548,7 +599,7 @@ def score(
             sent = made.mapInArrow(send_first, SENT)
         else:
             sent = dealt.cogroup(with_replies()).applyInArrow(send, SENT)
-        reply = replies(sent, min_gain)
+        reply = replies(sent, level, min_gain, part_count)
         if level == 0:
             totals.types = reply.agg(F.max("types")).first()[0] or 0  # those of the root
         known = reply if known is None else known.unionByName(reply)

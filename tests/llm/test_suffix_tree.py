@@ -109,6 +109,12 @@ def test_parts_and_slices_change_nothing(spark, whole, depth):
     same(result(docs, slice_tokens=1500, part_count=700, **options), expected)
 
 
+def test_least_count_follows_the_corpus(spark, whole):
+    docs, rows = whole
+    total = brute(rows, depth=0)[0][0][4]
+    same(result(docs, min_share=100 / total), brute(rows, min_count=100)[0])
+
+
 def test_held_out_texts_are_likelier_than_by_words_alone(spark):
     found = result(spark.read.parquet(f"{D}/sf0.1/documents.parquet"))
     held = [r for r in found if r[1]]
