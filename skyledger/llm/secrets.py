@@ -83,6 +83,8 @@ COMPLETES = {
     "identifier": ("secret",),
     "endpoint": ("secret",),
 }
+#: Code points of a text that are kept together while it is masked.
+BLOCK = 1024
 MASK = "[SECRET]"
 
 _MARK, _OTHER = "\u0001", "\u0002"
@@ -298,39 +300,70 @@ def span_digests(found: DataFrame) -> DataFrame:
     )
 
 
-def redact(found: DataFrame, text: str = "text", mask: str = MASK) -> DataFrame:
-    """Texts with a mask in place of each span; overlapping spans share one."""
+def _merged(spans: Column) -> Column:
+    """Overlapping spans as one; spans that only touch stay apart.
 
-    def merge(all_: Column, x: Column) -> Column:
-        last = F.element_at(all_, -1)
-        longer = F.struct(
-            last["start"].alias("start"), F.greatest(last["end"], x["end"]).alias("end")
-        )
-        alone = F.struct(x["start"].alias("start"), x["end"].alias("end"))
-        apart = F.concat(all_, F.array(alone))
-        within = F.concat(F.slice(all_, 1, F.size(all_) - 1), F.array(longer))
-        return F.when(F.size(all_) == 0, F.array(alone)).otherwise(
-            F.when(x["start"] >= last["end"], apart).otherwise(within)
+    With starts and ends sorted each on its own, a new run begins at place i exactly if
+    all i spans before have ended by its start, and a run ends with the last of its ends.
+    """
+
+    def runs(starts: Column, ends: Column) -> Column:
+        every = F.sequence(F.lit(0), F.size(starts) - 1)
+        opens = F.filter(every, lambda i: (i == 0) | (F.get(ends, i - 1) <= F.get(starts, i)))
+        return _let(
+            opens,
+            lambda first: F.transform(
+                first,
+                lambda i, k: F.struct(
+                    F.get(starts, i).alias("start"),
+                    F.get(ends, F.coalesce(F.get(first, k + 1), F.size(starts)) - 1).alias("end"),
+                ),
+            ),
         )
 
-    none = F.array().cast("array<struct<start:int,end:int>>")
+    starts = F.array_sort(F.transform(spans, lambda x: x["start"]))
+    ends = F.array_sort(F.transform(spans, lambda x: x["end"]))
+    return _let(starts, lambda a: _let(ends, lambda b: runs(a, b)))
+
 
-    def masked(spans: Column) -> Column:
+def _between(blocks: Column, a: Column, b: Column) -> Column:
+    """Code points from ``a`` to ``b`` of a text in blocks; only blocks it touches are read."""
+    first, last = F.floor(a / BLOCK).cast("int"), F.floor(b / BLOCK).cast("int")
+    head, tail = F.coalesce(F.get(blocks, first), F.lit("")), F.coalesce(F.get(blocks, last), F.lit(""))
+    from_, to = (a % BLOCK).cast("int"), (b % BLOCK).cast("int")
+    across = F.concat(
+        F.substring(head, from_ + 1, F.lit(BLOCK)),
+        F.array_join(F.slice(blocks, first + 2, F.greatest(last - first - 1, F.lit(0))), ""),
+        F.substring(tail, F.lit(1), to),
+    )
+    return F.when(first == last, F.substring(head, from_ + 1, to - from_)).otherwise(across)
+
+
+def redact(found: DataFrame, text: str = "text", mask: str = MASK) -> DataFrame:
+    """Texts with a mask in place of each span; overlapping spans share one.
+
+    A text is cut into blocks once, so its time grows with its length and its spans.
+    """
+
+    def masked(spans: Column, blocks: Column) -> Column:
         """The gaps between spans, joined by the mask."""
         gaps = F.transform(
             F.sequence(F.lit(0), F.size(spans)),
-            lambda i: F.substring(
-                F.col(text),
-                _edge(spans, i - 1, "end", F.lit(0)) + 1,
-                _edge(spans, i, "start", F.length(text)) - _edge(spans, i - 1, "end", F.lit(0)),
+            lambda i: _between(
+                blocks,
+                _edge(spans, i - 1, "end", F.lit(0)),
+                _edge(spans, i, "start", F.length(text)),
             ),
         )
         return F.array_join(gaps, mask)
 
-    merged = F.aggregate("secret_spans", none, merge)
+    blocks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+    new = _let(
+        _merged(F.col("secret_spans")),
+        lambda spans: _let(blocks, lambda cut: masked(spans, cut)),
+    )
     return found.withColumn(
-        text,
-        F.when(F.size("secret_spans") == 0, F.col(text)).otherwise(_let(merged, masked)),
+        text, F.when(F.size("secret_spans") == 0, F.col(text)).otherwise(new)
     )
 
 

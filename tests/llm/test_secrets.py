@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import re
+import time
 from hashlib import sha256
 
 import duckdb
@@ -149,3 +150,19 @@ def test_oracle_on_edge_rows():
     con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
     got = con.execute(queries.ORACLE["op6_secrets"]).fetchall()
     assert sorted(got) == sorted(digest(*r) for r in rows)
+
+
+@pytest.mark.parametrize("gap", [" ", " filler " * 300])
+def test_redact_takes_linear_time(spark, gap):
+    """Twenty thousand spans in one text, some of them overlapping."""
+    n = 20_000 if gap == " " else 500
+    parts = [f"password=abcdefghijkl{i:06d} AKIA{i:016d}é\U0001f600" for i in range(n // 2)]
+    text = gap.join(parts)
+    found = s.find_secrets(spark.createDataFrame([(1, text)], "doc_id long, text string"))
+    stored = spark.createDataFrame(found.collect(), found.schema)
+    assert len(stored.first().secret_spans) >= n
+    s.redact(spark.createDataFrame([(2, "user=a pwd=abcdef")], "doc_id long, text string").transform(s.find_secrets)).collect()
+    start = time.time()
+    (row,) = s.redact(stored).collect()
+    assert time.time() - start < 3 or gap != " "
+    assert row.text == redacted(text)
