@@ -34,11 +34,11 @@ import math
 import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -96,8 +96,12 @@ def words(text: str | None) -> Iterator[list[bytes]]:
     yield [*data[at:].split(), END]
 
 
-def hash_of(word: bytes) -> int:
-    return int.from_bytes(blake2b(word, digest_size=8).digest(), "little")
+class _Codes(dict):
+    """Words numbered as they come."""
+
+    def __missing__(self, word: bytes) -> int:
+        code = self[word] = len(self)
+        return code
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -112,9 +116,9 @@ class _Cutter:
 
     def __init__(self, size: int, depth: int):
         self.size, self.depth = size, depth
-        self._clear(np.empty(0, np.int64), {})
+        self._clear(np.empty(0, np.int32), _Codes())
 
-    def _clear(self, lead: np.ndarray, lead_words: dict[bytes, int]) -> None:
+    def _clear(self, lead: np.ndarray, lead_words: _Codes) -> None:
         self.codes: list[np.ndarray] = [lead]
         self.known = lead_words
         self.lead, self.n = len(lead), len(lead)
@@ -124,11 +128,8 @@ class _Cutter:
         for part in words(text):
             for at in range(0, len(part), self.size):
                 some = part[at : at + self.size]
-                known = self.known
-                for w in some:
-                    if w not in known:
-                        known[w] = len(known)
-                self.codes.append(np.array([known[w] for w in some], dtype=np.int64))
+                code = map(self.known.__getitem__, some)
+                self.codes.append(np.fromiter(code, dtype=np.int32, count=len(some)))
                 self.n += len(some)
                 if self.n >= self.size and some[-1] is not END:
                     yield self._end(row, doc_id, out, goes_on=True)
@@ -148,9 +149,8 @@ class _Cutter:
         made = self.row(codes, known)
         start = self.ends[-2] if len(self.ends) > 1 else 0
         tail = codes[max(start, len(codes) - self.depth) :] if goes_on else codes[:0]
-        kept = dict.fromkeys(known[c] for c in tail)
-        kept = {w: i for i, w in enumerate(kept)}
-        self._clear(np.array([kept[known[c]] for c in tail], dtype=np.int64), kept)
+        kept = _Codes()
+        self._clear(np.array([kept[known[c]] for c in tail], dtype=np.int32), kept)
         return made
 
     def row(self, codes: np.ndarray, known: list[bytes]) -> dict:
@@ -158,7 +158,7 @@ class _Cutter:
         rank = np.argsort(-np.bincount(codes, minlength=len(known)), kind="stable")
         code = np.empty(len(known), dtype="<u4")
         code[rank] = np.arange(len(known))
-        hashes = np.array([hash_of(w) for w in known], dtype="<u8")[rank]
+        hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, known), dtype="<u8", count=len(known))[rank]
         planes = code[codes].view(np.uint8).reshape(-1, 4).T.tobytes()
         return {
             "rows": self.rows, "ids": self.ids, "held_out": self.out, "ends": self.ends,
