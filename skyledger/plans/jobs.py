@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -22,7 +24,7 @@ from skyledger.sources.lookup_files import (
     countries_table,
     load_lookup_csv,
 )
-from skyledger.sources.scratch import materialize
+from skyledger.sources.scratch import materialize, scratch_scope
 from skyledger.sources.tables import (
     read_partition,
     read_table,
@@ -34,6 +36,17 @@ from skyledger.sources.tables import (
 SEGMENT_PARTITIONS = ("search_date", "flight_date")
 
 
+def leaves_no_scratch(job: Callable) -> Callable:
+    """A job whose results are tables or files: what it stored in between goes with it."""
+
+    @wraps(job)
+    def run(spark: SparkSession, *args: object, **options: object):
+        with scratch_scope(spark):
+            return job(spark, *args, **options)
+
+    return run
+
+
 @dataclass(frozen=True)
 class WarehouseTables:
     dim_airport: str = "dim_airport"
@@ -44,6 +57,7 @@ class WarehouseTables:
     fact: str = "fact_flight_ticket"
 
 
+@leaves_no_scratch
 def build_warehouse(
     spark: SparkSession,
     raw_itineraries: str,
@@ -65,17 +79,22 @@ def build_warehouse(
         flight_details=replace_table(built.flight_details, tables.dim_flight_details),
         date=replace_table(built.date, tables.dim_date),
     )
-    return replace_table(star_fact(raw, stored), tables.fact, FACT_PARTITIONS)
+    # Stored first: the layout by days reads it twice.
+    fact = materialize(star_fact(raw, stored), "fact-rows")
+    return replace_table(fact, tables.fact, FACT_PARTITIONS)
 
 
+@leaves_no_scratch
 def build_segment_fact(spark: SparkSession, raw: str, target: str) -> DataFrame:
     return replace_table(segment_fact(read_table(spark, raw)), target, SEGMENT_PARTITIONS)
 
 
+@leaves_no_scratch
 def build_wide_flights(spark: SparkSession, raw: str, target: str) -> DataFrame:
     return replace_table(wide_flights(read_table(spark, raw)), target, SEGMENT_PARTITIONS)
 
 
+@leaves_no_scratch
 def find_connections(
     spark: SparkSession,
     wide: str,
@@ -110,6 +129,7 @@ def report_itineraries(
     return with_report_headings(found)
 
 
+@leaves_no_scratch
 def import_lookups(
     spark: SparkSession,
     airports_csv: str,
@@ -128,6 +148,7 @@ def import_lookups(
         replace_table(clean(loaded), target)
 
 
+@leaves_no_scratch
 def clean_itinerary_paths(
     spark: SparkSession,
     source: str,
@@ -140,6 +161,7 @@ def clean_itinerary_paths(
     replace_partitions(df.withColumn(column, clean_path(df[column])), target, partition_by)
 
 
+@leaves_no_scratch
 def build_training_table(
     spark: SparkSession, fact: str, dim_date: str, target: str
 ) -> DataFrame:
@@ -147,6 +169,7 @@ def build_training_table(
     return replace_table(best_time_label(materialize(features, "features")), target)
 
 
+@leaves_no_scratch
 def build_price_rules(spark: SparkSession, fact: str, target: str) -> DataFrame:
     return replace_table(route_price_rule(read_table(spark, fact)), target)
 
@@ -159,6 +182,7 @@ def train(
     return trained
 
 
+@leaves_no_scratch
 def score(
     spark: SparkSession,
     rules_table: str,

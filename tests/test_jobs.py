@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from skyledger.plans import jobs
 from skyledger.operators.itineraries import REPORT_HEADINGS
-from skyledger.sources.scratch import clear_scratch, materialize, scratch_root
+from skyledger.sources.scratch import clear_scratch, materialize, scratch_root, scratch_scope
 from skyledger.sources.tables import replace_path, replace_table
 from tests.data import raw, airports
 
@@ -115,3 +115,32 @@ def test_scratch_can_be_cleared(spark, monkeypatch):
     assert os.path.isdir(path)
     clear_scratch(spark)
     assert not os.path.isdir(path) and scratch_root(spark) != root
+
+
+def test_a_scope_leaves_nothing_behind(spark):
+    outside = materialize(spark.range(3), "outside")
+    before = set(os.listdir(scratch_root(spark)))
+    with scratch_scope(spark):
+        inner = materialize(spark.range(5), "inner")
+        with scratch_scope(spark):
+            materialize(spark.range(7), "innermost")
+        assert inner.count() == 5
+        assert len(os.listdir(scratch_root(spark))) == len(before) + 1
+    try:
+        with scratch_scope(spark):
+            materialize(spark.range(5), "failed")
+            raise RuntimeError("stop")
+    except RuntimeError:
+        pass
+    assert set(os.listdir(scratch_root(spark))) == before and outside.count() == 3
+
+
+def test_jobs_leave_no_scratch(spark):
+    replace_table(raw(spark, {}, {"leg_id": "L2"}), "raw_for_scratch")
+    replace_table(airports(spark, "SFO", "DEN", "PHL"), "airports_for_scratch")
+    scratch = materialize(spark.range(1), "here")
+    before = set(os.listdir(scratch_root(spark)))
+    names = jobs.WarehouseTables(*[f"scratch_{i}" for i in range(6)])
+    fact = jobs.build_warehouse(spark, "raw_for_scratch", "airports_for_scratch", names)
+    assert fact.count() == 4 and scratch.count() == 1
+    assert set(os.listdir(scratch_root(spark))) == before

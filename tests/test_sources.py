@@ -273,3 +273,66 @@ def test_at_most_two_files_a_folder(spark, tmp_path):
     assert files.pop("day=0") >= 2
     assert len(files) == 49 and max(files.values()) <= 2
     assert same_rows(df, spark.read.parquet(f"{tmp_path}/files"))
+
+
+TRICKY = [
+    ["1", "plain", "x"],
+    ["2", 'say ""hi""', "a, b"],
+    ["3", "two\nlines", ""],
+    ["4", 'quote at end""', 'only ""'],
+    ["5", "\n\n", "after blank lines"],
+    ["6", "é 中 \U0001f600", "long " * 40],
+]
+
+
+def _csv_text(records, end="\n"):
+    def field(x):
+        return f'"{x}"' if any(c in x for c in '",\n') else x
+
+    return end.join([",".join(["id", "name", "note"]), *[",".join(map(field, r)) for r in records]])
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_large_csv_is_read_by_several_tasks(spark, tmp_path, end):
+    """Ranges of a hundred bytes: records and quoted line breaks cross many of them."""
+    records = [[f"{i}", *TRICKY[i % 6][1:]] for i in range(60)]
+    (tmp_path / "a.csv").write_bytes((_csv_text(records, end) + end + end).encode())
+    (tmp_path / "b.csv").write_bytes(_csv_text([["99", "x" * 700 + "\n" + "y" * 700, "wide"]], end).encode())
+    paths = [f"{tmp_path}/a.csv", f"{tmp_path}/b.csv"]
+    whole = lf._read_whole_files(spark, paths, "UTF-8")
+    names = ["spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"]
+    old = [spark.conf.get(n) for n in names]
+    for n, v in zip(names, ("100", "0")):
+        spark.conf.set(n, v)
+    try:
+        lines = lf._lines(spark, paths, "UTF-8")
+        assert lines.rdd.getNumPartitions() > 20
+        got = sorted(map(tuple, lf.load_lookup_csv(spark, paths).collect()))
+    finally:
+        for n, v in zip(names, old):
+            spark.conf.set(n, v)
+    assert got == sorted(map(tuple, whole.collect())) and len(got) == 61
+    unquoted = [[r[0], r[1].replace('""', '"'), r[2].replace('""', '"') or None] for r in records]
+    assert sorted(map(tuple, unquoted)) == [r for r in got if r[0] != "99"]
+
+
+def test_quotes_that_open_nothing():
+    assert not lf.ends_inside('5" pipe,x', False)
+    assert lf.ends_inside('a,"open', False) and lf.ends_inside('still, "" here', True)
+    assert not lf.ends_inside('end",next', True)
+    assert lf.ends_inside('end",",', True)
+    assert not lf.ends_inside('"a ""b"" c","d"', False) and lf.ends_inside('"', False)
+
+
+def test_empty_rows_and_a_file_of_two_columns(spark, tmp_path):
+    (tmp_path / "c.csv").write_text('Kod,Nazwa\nNA,Namibia\n,\n\n"PL","Po\nland"\n')
+    (tmp_path / "d.csv").write_text("Kod,Nazwa\nDE,Germany\n")
+    df = lf.countries_table(lf.load_lookup_csv(spark, str(tmp_path)))
+    assert sorted(map(tuple, df.collect())) == [("DE", "Germany"), ("NA", "Namibia"), ("PL", "Po\nland")]
+    assert df.columns == ["code", "name"]
+    (tmp_path / "e.csv").write_text("Kod,Inna\nFR,France\n")
+    with pytest.raises(Exception, match="another header"):
+        lf.load_lookup_csv(spark, str(tmp_path)).collect()
+    (tmp_path / "only").mkdir()
+    (tmp_path / "only" / "f.csv").write_text("Kod,Nazwa\n")
+    assert lf.load_lookup_csv(spark, f"{tmp_path}/only").isEmpty()

@@ -624,6 +624,13 @@ SELECT c_mktsegment AS type,
   'R, 1' AS iso_region,
   CASE WHEN c_custkey % 2 = 0 THEN 'City ' || c_nationkey ELSE '' END AS municipality
 FROM customer""",
+    "q_lookup_countries": """
+SELECT * FROM (
+  SELECT CASE WHEN c_custkey % 9 <> 0 THEN 'C' || c_custkey END AS code,
+         CASE WHEN c_custkey % 6 <> 0 THEN 'of "' || c_mktsegment || '",' || chr(10) || c_name END
+           AS name
+  FROM customer
+) WHERE code IS NOT NULL OR name IS NOT NULL""",
     "q_extract_select": """
 SELECT id, trim(substr(text, greatest(strpos(upper(text), 'SELECT'), 1))) AS query
 FROM (

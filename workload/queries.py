@@ -44,6 +44,7 @@ from skyledger.operators.skew import lookup_join
 from skyledger.sources.lookup_files import (
     AIRPORT_COLUMNS,
     airports_table,
+    countries_table,
     load_lookup_csv,
 )
 from skyledger.sources.scratch import materialize, scratch_root
@@ -647,6 +648,21 @@ def lookup_csv(spark: SparkSession, d: str) -> DataFrame:
     return airports_table(load_lookup_csv(spark, path, AIRPORT_COLUMNS))
 
 
+def lookup_countries(spark: SparkSession, d: str) -> DataFrame:
+    """Customers written as a file of codes and names, with empty rows, and cleaned.
+
+    Its two columns have other names, and rows without a value in either are dropped.
+    """
+    k = F.col("c_custkey")
+    rows = given(spark, d, "customer").select(
+        F.when(k % 9 != 0, F.concat(F.lit("C"), k.cast("string"))).alias("Kod"),
+        F.when(k % 6 != 0, F.concat(F.lit('of "'), "c_mktsegment", F.lit('",\n'), "c_name")).alias("Nazwa"),
+    )
+    path = f"{scratch_root(spark)}/countries-{uuid.uuid4().hex[:8]}"
+    rows.write.option("header", True).option("escape", '"').csv(path)
+    return countries_table(load_lookup_csv(spark, path))
+
+
 def selects(spark: SparkSession, d: str) -> DataFrame:
     return stored(spark, d, "generated_queries").select(
         "id", extract_select(F.col("text")).alias("query")
@@ -705,5 +721,6 @@ QUERIES = {
     "q_stump": stump,
     "q_stump_score": stump_score,
     "q_lookup_csv": lookup_csv,
+    "q_lookup_countries": lookup_countries,
     "q_extract_select": selects,
 }
