@@ -25,6 +25,7 @@ HEADLINE = [
     "q_dim_airline",
     "q_dim_flight_details",
     "q_dim_date",
+    "q_dimensions",
     "q_star_fact",
     "q_lookup_normalized",
     "q_partition_scan",
@@ -36,6 +37,8 @@ HEADLINE = [
     "q_two_transfer",
     "q_connections",
     "q_connections_same_day",
+    "q_one_transfer_all",
+    "q_connections_all",
     "q_clean_path",
     "q_fare_features",
     "q_best_time_label",
@@ -44,6 +47,7 @@ HEADLINE = [
     "q_stitched_share",
     "q_feature_vectors",
     "q_train_score",
+    "q_stump_score",
     "q_extract_select",
 ]
 

@@ -605,19 +605,16 @@ def stump(spark: SparkSession, d: str) -> DataFrame:
     names = [*STUMP_FEATURES, "airline_fk", "aircraft_fk"]
     rows = materialize(_features(spark, d), "features")
     model = fit_numeric_trees(rows, names, maxIter=1, maxDepth=1)
-    node = F.col("node")
-    tree = tree_table(model, spark).agg(
-        F.max_by("feature", node == 1).alias("feature"),
-        F.max_by("threshold", node == 1).alias("threshold"),
-        F.round(F.max_by("value", node == 2), 4).alias("left_mean"),
-        F.round(F.max_by("value", node == 3), 4).alias("right_mean"),
-    )
+    root, left, right = tree_table(model, spark).orderBy("node").collect()
     price = as_expression(model, rows.schema)
-    error = rows.agg(
+    return rows.agg(
+        F.lit(root.feature).alias("feature"),
+        F.lit(root.threshold).alias("threshold"),
+        F.round(F.lit(left.value), 4).alias("left_mean"),
+        F.round(F.lit(right.value), 4).alias("right_mean"),
         F.count(F.lit(1)).alias("fares"),
         F.round(rmse(F.col("total_fare").cast("double"), price), 4).alias("rmse"),
     )
-    return tree.join(error)
 
 
 def stump_score(spark: SparkSession, d: str) -> DataFrame:
