@@ -2,7 +2,8 @@
 
 Writing. Each page becomes a record. Of pages with equal payloads of at least
 ``MIN_REVISIT`` bytes the one with the largest ``page_id`` is a ``response``, the
-others are ``revisit`` records that refer to it and carry no payload. A response
+others are ``revisit`` records that refer to it by its address and date (and by its
+``page_id``, in a field of our own) and carry no payload. A response
 holds an HTTP message in chunked transfer framing; a block longer than
 ``segment_bytes`` is cut into segments, the first with number 1, the rest as
 ``continuation`` records with the origin's identifier, the last with the total
@@ -127,14 +128,18 @@ def _referred(pages: DataFrame) -> DataFrame:
     shared = materialize(
         keyed.where(F.col("size") >= MIN_REVISIT)
         .groupBy("digest", "size")
-        .agg(F.count("page_id").alias("_n"), F.max("page_id").alias("_last"))
+        .agg(
+            F.count("page_id").alias("_n"),
+            F.max("page_id").alias("_last"),
+            F.max_by("url", "page_id").alias("refers_url"),
+        )
         .where("_n > 1")
         .drop("_n"),
         "warc-shared",
     )
     refers = F.when(F.col("page_id") != F.col("_last"), F.col("_last"))
     return keyed.join(shared, ["digest", "size"], "left").select(
-        "page_id", "url", "payload", "digest", "size", refers.alias("refers_to")
+        "page_id", "url", "payload", "digest", "size", refers.alias("refers_to"), "refers_url"
     )
 
 
@@ -150,7 +155,7 @@ def write_archive(
         def apply(part):
             nonlocal count
             out = []
-            for page_id, url, payload, digest, size, refers_to in zip(
+            for page_id, url, payload, digest, size, refers_to, refers_url in zip(
                 *(c.to_pylist() for c in part.columns)
             ):
                 # The same on a retry: it follows from the split and the place in it.
@@ -170,6 +175,8 @@ def write_archive(
                         ("WARC-Record-ID", ident),
                         *about,
                         ("WARC-Profile", PROFILE),
+                        ("WARC-Refers-To-Target-URI", refers_url),
+                        ("WARC-Refers-To-Date", DATE),
                         ("X-Refers-To-Page-Id", refers_to),
                         ("Content-Type", "application/http; msgtype=response"),
                     ]
@@ -193,6 +200,7 @@ def write_archive(
                     fields = [
                         ("WARC-Type", "continuation"),
                         ("WARC-Record-ID", f"<urn:uuid:{own}>"),
+                        ("WARC-Target-URI", url),
                         ("WARC-Date", DATE),
                         ("WARC-Segment-Origin-ID", ident),
                         ("WARC-Segment-Number", number),

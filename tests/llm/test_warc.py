@@ -93,3 +93,24 @@ def test_a_lost_segment_is_an_error(spark, archive, tmp_path, lost):
 def test_query_equals_oracle(spark):
     df = queries.op8_warc(spark, D)
     assert difference(df, duck(D), queries.ORACLE["op8_warc"]) is None
+
+
+def test_records_name_what_they_belong_to(spark, tmp_path):
+    """Continuations carry their page's address, revisits that of the page they repeat."""
+    html = "<p>copied</p>" * 300
+    rows = [(i, f"http://x/{i}", html) for i in range(3)] + [(9, None, "x" * 50_000), (10, "u", None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    path = f"{tmp_path}/archive"
+    warc.write_archive(pages, path)
+    files = (tmp_path / "archive").glob("part-*")
+    found = [f for file in files for f, _ in warc.records(file.read_bytes())]
+    revisits = [f for f in found if f["warc-type"] == "revisit"]
+    assert {f["warc-refers-to-target-uri"] for f in revisits} == {"http://x/2"} and len(revisits) == 2
+    assert all(f["warc-refers-to-date"] == warc.DATE for f in revisits)
+    segmented = spark.createDataFrame([(1, "http://y", "y" * 50_000)], pages.schema)
+    warc.write_archive(segmented, f"{path}-2")
+    files = (tmp_path / "archive-2").glob("part-*")
+    found = [f for file in files for f, _ in warc.records(file.read_bytes())]
+    parts = [f for f in found if f["warc-type"] == "continuation"]
+    assert len(parts) >= 3 and all(f["warc-target-uri"] == "http://y" for f in parts)
+    assert warc.read_archive(spark, path).count() == 5
