@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame
@@ -33,7 +34,8 @@ FLIGHT_DETAILS = (
     "is_basic_economy",
     "is_refundable",
 )
-_MEMBERS = "array<struct<dimension:string,values:array<string>>>"
+# Text columns of a member of any dimension; short ones end in NULL.
+_VALUES = ("_v0", "_v1", "_v2", "_v3")
 
 
 @dataclass(frozen=True)
@@ -151,44 +153,50 @@ def tagged_members(raw: DataFrame) -> DataFrame:
     """The different members of all dimensions of the raw table, from one scan.
 
     ``dimension`` names what ``values`` is a member of: an airline's code and name, an
-    aircraft's description, the four columns of a fare product, or a date, as text. An
-    itinerary's members are made distinct on its own row, then by one hash aggregate.
+    aircraft's description, the four columns of a fare product, or a date, as text. The
+    packed lists are unpacked side by side and the members of each segment dealt out as
+    flat text columns, which stays in generated code; one hash aggregate makes them
+    distinct. An itinerary's own members go with its first segment.
     """
-
-    def member(dimension: str, *values: Column) -> Column:
-        texts = [v.cast("string") for v in values]
-        return F.struct(F.lit(dimension).alias("dimension"), F.array(*texts).alias("values"))
-
-    def each(lists: Column, make: Callable[[Column], Column]) -> Column:
-        return F.coalesce(F.transform(lists, make), F.array().cast(_MEMBERS))
-
-    airlines = F.arrays_zip(
+    lists = F.arrays_zip(
+        unpack(F.col("segments_equipment_description"), "keep").alias("aircraft"),
         unpack(F.col("segments_airline_code"), "keep").alias("code"),
         unpack(F.col("segments_airline_name"), "keep").alias("name"),
     )
-    found = F.concat(
-        each(unpack(F.col("segments_equipment_description")), lambda x: member("aircraft", x)),
-        each(airlines, lambda x: member("airline", x["code"], x["name"])),
-        F.array(
-            member(
-                "flight_details",
-                F.col("fare_basis_code"),
-                F.col("segments_cabin_code"),
-                to_bool(F.col("is_basic_economy")),
-                to_bool(F.col("is_refundable")),
-            ),
-            member("date", to_date(F.col("search_date"))),
-            member("date", to_date(F.col("flight_date"))),
-        ),
+    segments = raw.select(
+        "fare_basis_code",
+        "segments_cabin_code",
+        to_bool(F.col("is_basic_economy")).cast("string").alias("is_basic_economy"),
+        to_bool(F.col("is_refundable")).cast("string").alias("is_refundable"),
+        to_date(F.col("search_date")).cast("string").alias("search_date"),
+        to_date(F.col("flight_date")).cast("string").alias("flight_date"),
+        F.posexplode_outer(lists).alias("_pos", "_seg"),
+    )
+    leads = F.coalesce(F.col("_pos"), F.lit(0)) == 0
+    details = leads & reduce(lambda x, y: x & y, [F.col(c).isNotNull() for c in FLIGHT_DETAILS])
+
+    def member(dimension: str, there: Column, *values: Column) -> Column:
+        padded = [*values, *[F.lit(None).cast("string")] * (len(_VALUES) - len(values))]
+        named = [v.alias(c) for c, v in zip(_VALUES, padded)]
+        return F.struct(F.when(there, F.lit(dimension)).alias("dimension"), *named)
+
+    aircraft, code = F.col("_seg.aircraft"), F.col("_seg.code")
+    found = F.array(
+        member("aircraft", not_blank(aircraft), aircraft),
+        member("airline", not_blank(code), code, F.col("_seg.name")),
+        member("flight_details", details, *[F.col(c) for c in FLIGHT_DETAILS]),
+        *[
+            member("date", leads & F.col(c).isNotNull(), F.col(c))
+            for c in ("search_date", "flight_date")
+        ],
     )
-    coded = F.col("dimension").isin("aircraft", "airline")
-    first = F.col("values")[0]
-    return (
-        raw.select(F.explode(F.array_distinct(found)).alias("m"))
-        .select("m.dimension", "m.values")
-        .where(F.when(coded, not_blank(first)).otherwise(F.forall("values", lambda x: x.isNotNull())))
+    flat = (
+        segments.select(F.explode(found).alias("m"))
+        .select("m.dimension", *[f"m.{c}" for c in _VALUES])
+        .where(F.col("dimension").isNotNull())
         .distinct()
     )
+    return flat.select("dimension", F.array(*_VALUES).alias("values"))
 
 
 def _of(members: DataFrame, dimension: str, *columns: Column | str) -> DataFrame:

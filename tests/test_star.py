@@ -226,3 +226,25 @@ def test_all_dimensions_come_from_one_scan(spark, tmp_path):
     assert same_rows(built.aircraft, dims.dim_aircraft(source))
     assert same_rows(built.flight_details, dims.dim_flight_details(source))
     assert same_rows(built.date, dims.dim_date(source))
+
+
+def test_members_are_made_in_generated_code(spark):
+    """No lambda per row, and a row with lists of different lengths, or none, loses nothing."""
+    source = raw(
+        spark,
+        {"segments_airline_code": "B1||B2||B3", "segments_airline_name": "One",
+         "segments_equipment_description": "X||Y"},
+        {"segments_airline_code": None, "segments_airline_name": None,
+         "segments_equipment_description": None, "fare_basis_code": "Z"},
+    )
+    members = dims.tagged_members(source)
+    plan = members._jdf.queryExecution().executedPlan().toString()
+    assert "lambdafunction" not in plan and "array_distinct" not in plan
+    found = {(r.dimension, *[v for v in r["values"] if v is not None]) for r in members.collect()}
+    assert found == {
+        ("airline", "B1", "One"), ("airline", "B2"), ("airline", "B3"),
+        ("aircraft", "X"), ("aircraft", "Y"),
+        ("flight_details", "Y1", "coach||coach", "false", "false"),
+        ("flight_details", "Z", "coach||coach", "false", "false"),
+        ("date", "2022-04-16"), ("date", "2022-05-01"),
+    }
