@@ -192,6 +192,17 @@ def test_json_lines(spark, tmp_path):
     assert [json.loads(x) for x in lines] == [{"t": "1-transfer", "f": 2.5}]
 
 
+def test_compressed_json_lines(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables, "JSON_FILE_ROWS", 300)
+    trips = spark.range(2000, numPartitions=2).selectExpr("'1-transfer' route", "id", "id / 3 fare")
+    tables.write_json_lines(trips, str(tmp_path / "plain"))
+    tables.write_json_lines(trips, str(tmp_path / "small"), compression="gzip")
+    size = lambda name: sum(f.stat().st_size for f in (tmp_path / name).glob("part-*"))
+    assert size("small") * 3 < size("plain")
+    assert len([*(tmp_path / "small").glob("part-*.json.gz")]) == 8
+    assert same_rows(trips, spark.read.schema(trips.schema).json(str(tmp_path / "small")))
+
+
 def test_database(spark):
     spark.sql("CREATE DATABASE IF NOT EXISTS air")
     tables.use_database(spark, "air")
