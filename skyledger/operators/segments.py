@@ -14,8 +14,19 @@ _SEPARATOR_PATTERN = r"\|\|"
 assert SEGMENT_SEPARATOR == "||"
 
 
+# One character that hardly any text holds: a list cut at it needs no pattern.
+_MARK = "\x01"
+
+
 def unpack(c: Column | str, on_null: str = "drop") -> Column:
-    values = F.split(c, _SEPARATOR_PATTERN)
+    """The values of a packed list. A list of one value is taken as it is."""
+    c = F.col(c) if isinstance(c, str) else c
+    marked = F.replace(c, F.lit(SEGMENT_SEPARATOR), F.lit(_MARK))
+    values = (
+        F.when(~F.contains(c, F.lit(SEGMENT_SEPARATOR)), F.array(c))
+        .when(F.contains(c, F.lit(_MARK)), F.split(c, _SEPARATOR_PATTERN))
+        .when(c.isNotNull(), F.split(marked, _MARK))
+    )
     if on_null == "keep":
         return F.coalesce(values, F.array().cast("array<string>"))
     return values

@@ -10,6 +10,7 @@ from skyledger.operators.segments import (
     flights_view,
     segment_fact,
     serving_segments,
+    unpack,
     wide_flights,
 )
 from tests.data import raw
@@ -134,3 +135,15 @@ def test_every_segment_index_once(spark):
         F.sort_array(F.collect_list("segment_index")).alias("i")
     )
     assert all(r.i == [1, 2] for r in counts.collect())
+
+
+def test_lists_are_cut_without_a_pattern(spark, capsys):
+    texts = ["a", "", "a||b||c", "||", "|||", "||||", "a|b||", "\x01", "a\x01b||c", "\x01||\x01", "ä||ö", None]
+    df = spark.createDataFrame([(t,) for t in texts], "v string").repartition(1)
+    cut = df.select("v", unpack("v").alias("kept"), unpack("v", "keep").alias("filled"))
+    for r in cut.collect():
+        assert r.kept == (None if r.v is None else r.v.split("||"))
+        assert r.filled == (r.kept or [])
+    cut.explain()
+    plan = capsys.readouterr().out
+    assert "split(replace(v" in plan and "Contains(v" in plan
