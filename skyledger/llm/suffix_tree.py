@@ -258,21 +258,45 @@ class Slice:
 
     def _under_test(self) -> tuple[np.ndarray, np.ndarray]:
         """Positions with a context of the present length, and its occurrences."""
-        if self.level == 0:
-            every = np.arange(len(self.codes))
-            return every, np.full(len(every), max(self.totals.tokens, 1))
         total = np.zeros(len(self.codes), dtype=np.int64)
         total[1:] = self.count[:-1]  # of the context's last word after those before it
         good = self.state & (self.depth >= self.level) & (total >= self.min_count)
         at = np.flatnonzero(good)
         return at, total[at]
 
+    def _tested_root(self) -> Tested:
+        """``tested`` for the root: every word is an entry, so only words are sorted."""
+        total = max(self.totals.tokens, 1)
+        part = np.zeros(len(self.hashes), dtype=np.int32)
+        if total > self.part_count:
+            part[:] = _mixed(self.hashes) % np.uint64(-(-total // self.part_count))
+        order = np.argsort(part, kind="stable")
+        entry = np.empty(len(order), dtype=np.int32)
+        entry[order] = np.arange(len(order))
+        parts, row, size = np.unique(part, return_inverse=True, return_counts=True)
+        counts = np.bincount(self.codes[self.train], minlength=len(order))
+        return Tested(
+            contexts=np.full(len(parts), _ROOT),
+            parts=parts,
+            total=np.full(len(parts), total),
+            lone=np.zeros(len(parts), dtype=np.int32),
+            starts=np.concatenate([[0], np.cumsum(size)]),
+            symbols=self.hashes[order],
+            counts=counts[order].astype("<u4"),
+            predicted=np.zeros(len(order), dtype="<f2"),
+            at=np.arange(len(self.codes)),
+            row=row.astype(np.int32)[self.codes],
+            entry=entry[self.codes],
+        )
+
     def tested(self) -> Tested:
         """What this slice sends for contexts of the present length."""
+        if self.level == 0:
+            return self._tested_root()
         at, total = self._under_test()
         n, width = len(at), len(self.hashes)
         # A symbol whose pair with the shorter context is unique is so here as well.
-        sent = self.count[at] >= 2 if self.level else np.ones(n, dtype=bool)
+        sent = self.count[at] >= 2
         context = np.zeros(n, dtype=np.int64)
         for d in range(self.level, 0, -1):
             context = context * width + self.codes[at - d]

@@ -139,3 +139,25 @@ def test_only_held_out_rows_and_empty_table(spark):
     df = spark.createDataFrame([(*r, "z") for r in rows], SCHEMA)
     same(result(df), brute(rows)[0])
     assert result(df.limit(0)) == []
+
+
+def test_root_sorts_words_not_positions(monkeypatch):
+    """The first step sends every word of a slice, by part, and sorts no longer array."""
+    texts = [" ".join(f"w{(7 * i + j * j) % 50}" for j in range(400)) for i in range(20)]
+    cutter = suffix_tree._Cutter(100_000, 2)
+    made = [r for i, t in enumerate(texts) for r in cutter.add(i, i, i % 5 == 1, t)]
+    (row,) = [*made, *cutter.rest()]
+    part = suffix_tree.Slice(row, suffix_tree.Totals(6_400), part_count=2_000, min_count=2)
+    sorted_rows, argsort = [], np.argsort
+    monkeypatch.setattr(np, "argsort", lambda a, **k: (sorted_rows.append(len(a)), argsort(a, **k))[1])
+    asked = part.tested()
+    assert max(sorted_rows) <= len(part.hashes) < len(part.codes)
+    counts = Counter()
+    for i, t in enumerate(texts):
+        counts.update(split(t) if i % 5 != 1 else [])
+    number = {suffix_tree.xxhash.xxh3_64_intdigest(w.encode()): n for w, n in counts.items()}
+    assert dict(zip(asked.symbols.tolist(), asked.counts.tolist())) == number
+    assert asked.parts.tolist() == [0, 1, 2, 3]
+    assert np.array_equal(asked.symbols[asked.entry], part.hashes[part.codes[asked.at]])
+    rows = np.searchsorted(asked.starts, asked.entry, side="right") - 1
+    assert np.array_equal(asked.row, rows)
