@@ -347,3 +347,15 @@ def test_empty_rows_and_a_file_of_two_columns(spark, tmp_path):
     (tmp_path / "only").mkdir()
     (tmp_path / "only" / "f.csv").write_text("Kod,Nazwa\n")
     assert lf.load_lookup_csv(spark, f"{tmp_path}/only").isEmpty()
+
+
+def test_derived_flights_are_stored_small(spark, monkeypatch):
+    from workload import derive
+
+    ids = [(f"{i}-1-{7 * i}-3-{i * i}", i) for i in range(50)]
+    monkeypatch.setitem(
+        derive.DERIVED, "flights", lambda s, d: s.createDataFrame(ids, "leg_id string, n int")
+    )
+    kept = derive.stored(spark, "own-rows", "flights")
+    assert sorted(map(tuple, kept.collect())) == sorted(ids)
+    assert all(".zstd." in f for f in kept.inputFiles())
