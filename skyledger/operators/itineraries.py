@@ -96,20 +96,21 @@ def reassemble(segments: DataFrame) -> DataFrame:
     have none. Copies of a segment row, from a search that was loaded twice, count
     once and are merged before the shuffle, however many there are.
     """
-    trip = ("search_date", "flight_date", "leg_id", "total_fare", "trip_key")
-    grouped = segments.groupBy(*trip).agg(
-        F.sort_array(
-            F.collect_set(
-                F.struct(
-                    "segment_index",
-                    "segment_departure_airport",
-                    "segment_arrival_airport",
-                    "segment_departure_time_raw",
-                    "segment_arrival_time_raw",
-                    "segment_duration_seconds",
-                )
-            )
-        ).alias("_s"),
+    # The hash first: sorting by it settles nearly all comparisons on one number.
+    trip = ("trip_key", "search_date", "flight_date", "leg_id", "total_fare")
+    # Structs made before the aggregate are made in generated code, and stay as they are.
+    segment = F.struct(
+        "segment_index",
+        "segment_departure_airport",
+        "segment_arrival_airport",
+        "segment_departure_time_raw",
+        "segment_arrival_time_raw",
+        "segment_duration_seconds",
+    )
+    grouped = (
+        segments.select(*trip, segment.alias("_segment"))
+        .groupBy(*trip)
+        .agg(F.sort_array(F.collect_set("_segment")).alias("_s"))
     )
     return grouped.select(
         "search_date", "flight_date", "leg_id", "total_fare", *_report(F.col("_s"))

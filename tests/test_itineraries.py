@@ -66,6 +66,16 @@ def test_many_requests_at_once(spark):
     assert sorted(r.leg_id for r in found.collect()) == ["elsewhere", "other day"]
 
 
+def test_segments_are_grouped_by_hash_as_made(spark):
+    """The sort of the groups begins with a number, and no struct is made in the aggregate."""
+    plan = itinerary_search(wide_flights(source(spark)))._jdf.queryExecution().executedPlan()
+    grouped = [x for x in plan.toString().splitlines() if "ObjectHashAggregate" in x]
+    assert len(grouped) == 2
+    for line in grouped:
+        assert line.split("keys=[")[1].startswith("trip_key")
+        assert "collect_set(_segment" in line and "struct" not in line
+
+
 def test_packed_rows_give_the_same_answer_without_a_shuffle(spark):
     packed = packed_itineraries(source(spark))
     assert same_rows(itinerary_search(wide_flights(source(spark))), packed)
